@@ -6,7 +6,7 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquetry.llm import packing, sentencepieces, token_counts
+from marquetry.llm import chat_rotation, packing, secret_scans, sentencepieces, token_counts
 from marquetry.llm.common import table
 
 
@@ -26,9 +26,17 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.digests(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scans.digests(table(spark, sf_dir, "documents"))
+
+
+def op8_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_rotation.rotate(table(spark, sf_dir, "conversations"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op3_packing, op5_sentencepiece, op9_token_counts)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op3_packing, op5_sentencepiece, op7_secret_scans, op8_chat_rotation, op9_token_counts)}
+ORACLES = {"op8_chat_rotation": chat_rotation.ORACLE}
