@@ -5,8 +5,9 @@ from __future__ import annotations
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marquetry.llm import chat_rotation, packing, secret_scans, sentencepieces, token_counts
+from marquetry.llm import chat_rotation, fingerprints, near_dedup, packing, secret_scans, sentencepieces, token_counts
 from marquetry.llm.common import table
 
 
@@ -18,10 +19,23 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    probed = fingerprints.neighbours(docs)
+    classes = fingerprints.near_classes(probed, docs).dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("d"), "class_id")
+    return probed.join(classes, F.expr("doc_id <=> d"), "left").select(
+        "doc_id", "n_chars", "edited_sha256", F.lower(F.hex("fingerprint")).alias("fingerprint"), F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next", "class_id"
+    )
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"), words=2)
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.digests(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
@@ -38,5 +52,5 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op3_packing, op5_sentencepiece, op7_secret_scans, op8_chat_rotation, op9_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op3_packing, op4_near_dedup, op5_sentencepiece, op7_secret_scans, op8_chat_rotation, op9_token_counts)}
 ORACLES = {"op8_chat_rotation": chat_rotation.ORACLE}
