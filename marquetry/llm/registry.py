@@ -7,7 +7,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquetry.llm import chat_rotation, fingerprints, near_dedup, packing, secret_scans, sentencepieces, token_counts
+from marquetry.llm import chat_rotation, fingerprints, language_id, near_dedup, packing, secret_scans, sentencepieces, token_counts
 from marquetry.llm.common import table
 
 
@@ -40,6 +40,10 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.digests(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identified(table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scans.digests(table(spark, sf_dir, "documents"))
 
@@ -52,5 +56,5 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op3_packing, op4_near_dedup, op5_sentencepiece, op7_secret_scans, op8_chat_rotation, op9_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op3_packing, op4_near_dedup, op5_sentencepiece, op6_language_id, op7_secret_scans, op8_chat_rotation, op9_token_counts)}
 ORACLES = {"op8_chat_rotation": chat_rotation.ORACLE}
