@@ -7,7 +7,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquetry.llm import chat_rotation, fingerprints, language_id, near_dedup, packing, secret_scans, sentencepieces, token_counts
+from marquetry.llm import chat_rotation, fingerprints, html_extraction, language_id, media_search, near_dedup, packing, secret_scans, sentencepieces, token_counts
 from marquetry.llm.common import table
 
 
@@ -28,6 +28,11 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extraction.extract(pages, html_extraction.fitted(pages))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -56,5 +61,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op3_packing, op4_near_dedup, op5_sentencepiece, op6_language_id, op7_secret_scans, op8_chat_rotation, op9_token_counts)}
+def op10_media_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_search.copies(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_html_extraction, op3_packing, op4_near_dedup, op5_sentencepiece, op6_language_id, op7_secret_scans, op8_chat_rotation, op9_token_counts, op10_media_search)}
 ORACLES = {"op8_chat_rotation": chat_rotation.ORACLE}
