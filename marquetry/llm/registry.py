@@ -20,12 +20,10 @@ def vocabulary(name: str) -> str:
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    probed = fingerprints.neighbours(docs)
-    classes = fingerprints.near_classes(probed, docs).dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("d"), "class_id")
-    return probed.join(classes, F.expr("doc_id <=> d"), "left").select(
-        "doc_id", "n_chars", "edited_sha256", F.lower(F.hex("fingerprint")).alias("fingerprint"), F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next", "class_id"
-    )
+    """The banded join of near classes is an operator of its own (fingerprints.near_classes); its shuffles go beyond this query's disk."""
+    probed = fingerprints.neighbours(table(spark, sf_dir, "documents"))
+    prints = (F.lower(F.hex(c)).alias(c) for c in ("fingerprint", "edited_fingerprint"))
+    return probed.select("doc_id", "n_chars", "edited_sha256", *prints, "near_edited", "near_next")
 
 
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
