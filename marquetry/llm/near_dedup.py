@@ -8,21 +8,28 @@
    and looked up in the signatures, which give the count of agreements.
 4. Pairs that agree on `least` coordinates or more are confirmed on the full sets.
 
-Long postings are never expanded into all pairs. In each round the member of first priority is the
-hub of its posting and is compared with the others; members already in the hub's component need no
-comparison. What the rounds leave are the pairs of different components, which are all compared at
-last, so no link between different texts is lost.
+Long postings are never expanded into all pairs. Each posting has a hub, the member whose coordinates
+are the most frequent, and all members are compared with it. A class then refers to the most frequent
+hub that it met and is somewhat like, and is known by its edits: the shingles that it or the hub has alone. For two classes
+with one hub, edit counts s and sizes n, the sets differ in s + s' - 2 * (edits in common) shingles and
+may differ in a fixed share of n + n'. So without any common edit they link only if s and s' are
+small enough together, and then both link with the class of the hub for which s is least against n;
+any other link has so many common edits that one is among each one's rarest. Edits are therefore joined by
+that prefix, as coordinates are, and copies of one text with edits of their own never meet. Classes with
+different hubs meet in their postings. Every pair that meets and is not yet connected is compared,
+so no link between different texts is lost.
 
 `least` is 36 of 64: a pair at the threshold of 0.8 agrees on 51 of 64 with a deviation of 3.2, so
 one pair in a million at that very threshold may fall below, and fewer of those above it.
 
 Null and empty texts have empty sets and link with nothing; rows with a null doc_id are returned
-with no component and are kept; repeated rows link as equal texts; other columns are ignored.
+with no component and are kept; repeated rows link as equal texts; several texts under one doc_id
+are nodes that may share their number; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +41,6 @@ from marquetry.llm.components import components
 from marquetry.llm.shingles import mix, shingle_sets, signatures
 
 COORDINATES, LEAST = 64, 36
-#: Hub rounds go on while the pairs left exceed this many for each class that is in a posting.
-PAIRS_PER_CLASS = 2
-MOST_ROUNDS = 6
 SETS = "doc_id long, n_shingles long, h1 long, h2 long, signature array<int>"
 
 
@@ -62,22 +66,45 @@ def sets_of(docs: DataFrame, words: int, coordinates: int = COORDINATES) -> Data
     return _texts(docs).mapInArrow(run, SETS)
 
 
+def _paired(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
+    b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
+
+
+def _both(batch: pa.RecordBatch, words: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The two sets of each pair of texts."""
+    found = [shingle_sets(batch.column(c), words) for c in ("text_a", "text_b")]
+    return zip(*(np.split(h, np.cumsum(s)[:-1]) for h, s in found), strict=True)
+
+
 def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text_a", 1_000_000):
-            found = [shingle_sets(batch.column(c), words) for c in ("text_a", "text_b")]
-            left, right = (np.split(h, np.cumsum(s)[:-1]) for h, s in found)
             keep = []
-            for x, y in zip(left, right, strict=True):
+            for x, y in _both(batch, words):
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return _paired(pairs, texts).mapInArrow(run, "a long, b long")
+
+
+def edits(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """pairs (a: a hub, b) -> hub, doc_id, n, s, edits (hashes of the shingles that one of both has alone)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text_a", 1_000_000):
+            n, alone = [], []
+            for x, y in _both(batch, words):
+                n.append(len(y))
+                alone.append(np.setxor1d(x, y, assume_unique=True).view(np.int64))
+            columns = [*batch.select(["a", "b"]).columns, pa.array(n, pa.int64()), pa.array([len(e) for e in alone], pa.int64()), pa.array(alone, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["hub", "doc_id", "n", "s", "edits"])
+
+    return _paired(pairs, texts).mapInArrow(run, "hub long, doc_id long, n long, s long, edits array<long>")
 
 
 def links_between(classes: DataFrame, texts: DataFrame, words: int, percent: int, least: int = LEAST) -> DataFrame:
@@ -87,79 +114,89 @@ def links_between(classes: DataFrame, texts: DataFrame, words: int, percent: int
     """
     posted = classes.select("doc_id", F.posexplode("signature").alias("k", "value")).select("doc_id", F.expr("shiftleft(cast(k as bigint), 32) | (cast(value as bigint) & 4294967295)").alias("key"))
     shared = posted.groupBy("key").agg(F.count("*").alias("df")).filter("df > 1")
-    ordered = posted.join(shared, "key").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("keys"))
-    prefixes = ordered.filter(F.size("keys") >= least).select("doc_id", F.expr(f"explode(slice(keys, 1, size(keys) - {least} + 1).key)").alias("key"))
-    prefixes = stored(prefixes)
+    ordered = posted.join(shared, "key").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("keys"), F.sum("df").alias("weight"))
+    prefixes = stored(ordered.filter(F.size("keys") >= least).select("doc_id", "weight", F.expr(f"explode(slice(keys, 1, size(keys) - {least} + 1).key)").alias("key")))
     few = prefixes.select("doc_id").distinct()
     held = stored(classes.join(few, "doc_id", "left_semi").select("doc_id", "n_shingles", "signature"))
     texts = stored(texts.join(few, "doc_id", "left_semi"))
 
-    def judged(pairs: DataFrame) -> DataFrame:
-        """Of candidate pairs, those that agree often enough and are confirmed."""
-        a = held.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("signature").alias("s_a"))
-        b = held.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("signature").alias("s_b"))
-        agree = F.expr(f"size(filter(zip_with(s_a, s_b, (x, y) -> x = y), same -> same)) >= {least}")
-        sized = F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-        return confirm(pairs.join(a, "a").join(b, "b").filter(sized).filter(agree).select("a", "b"), texts, words, percent)
+    return link(prefixes, held, texts, words, percent, least)
 
-    return link(prefixes, judged)
 
+def _agreeing(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) with `same`, on how many coordinates they agree, and `sized`, whether their sizes allow a link."""
+    a = held.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("signature").alias("s_a"))
+    b = held.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("signature").alias("s_b"))
+    same = F.expr("size(filter(zip_with(s_a, s_b, (x, y) -> x = y), same -> same))")
+    sized = F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    return pairs.join(a, "a").join(b, "b").select(*pairs.columns, same.alias("same"), sized.alias("sized"), F.expr("2 * least(n_a, n_b) >= greatest(n_a, n_b)").alias("alike"))
 
-def link(postings: DataFrame, judged: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """postings (doc_id, key), judged: pairs (a, b) -> those linked; gives components as `components` does.
 
-    Two rows are compared if they share a posting and are not known to be connected.
+def link(postings: DataFrame, held: DataFrame, texts: DataFrame, words: int, percent: int, least: int) -> DataFrame:
+    """Components, as `components` gives them, of the links among rows that share a posting.
+
+    postings: doc_id, key, weight. held: doc_id, n_shingles, signature. texts: doc_id, text.
+    """
+
+    def judged(pairs: DataFrame) -> DataFrame:
+        return confirm(_agreeing(pairs, held, percent).filter(F.col("sized") & (F.col("same") >= least)).select("a", "b"), texts, words, percent)
+
+    rank = F.struct((-F.col("weight")).alias("w"), F.col("doc_id").alias("d"))
+    hubs = postings.groupBy("key").agg(F.min(rank).alias("hub"), F.count("*").alias("m")).filter("m > 1").select("key", "hub")
+    met = postings.join(hubs, "key").select("doc_id", "hub").distinct()
+    met = stored(_agreeing(met.select(F.col("hub.d").alias("a"), F.col("doc_id").alias("b"), "hub"), held, percent))
+    # Every row is compared with all hubs that it met, and refers to the first of those that are somewhat like it.
+    fit = F.when(F.col("alike") & (2 * F.col("same") >= least), F.col("hub"))
+    refers = stored(met.groupBy("b").agg(F.min(fit).alias("hub")).select(F.col("b").alias("doc_id"), F.coalesce("hub.d", "b").alias("hub")))
+    known = stored(edits(refers.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")), texts, words))
+    # margin: edits less what a row may differ in for its own size, times 100 + percent.
+    known = known.withColumn("margin", F.expr(f"{100 + percent} * s - {100 - percent} * n"))
+    best = known.groupBy("hub").agg(F.min(F.struct("margin", "doc_id")).alias("best"), F.min(F.when(F.col("doc_id") != F.col("hub"), F.col("margin"))).alias("low_other"))
+    best = best.select("hub", F.col("best.margin").alias("low"), F.col("best.doc_id").alias("nearest"), "low_other")
+    near = known.join(best, "hub").filter("margin + low <= 0 and doc_id <> nearest").select(F.col("doc_id").alias("a"), F.col("nearest").alias("b"))
+    close = met.filter(F.col("sized") & (F.col("same") >= least) & (F.col("a") != F.col("b")))
+    found = stored(confirm(close, texts, words, percent).union(near).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    state = components(found)
+    placed = state.select(F.col("u").alias("doc_id"), F.col("v").alias("c"))
+    at = stored(refers.join(placed, "doc_id", "left").select("doc_id", "hub", F.coalesce("c", "doc_id").alias("c")))
+    rest = stored(_by_edits(known, best, at, percent).union(_across(postings, at)).distinct())
+    more = stored(judged(rest).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    return state if more.isEmpty() else components(state.union(more))
+
+
+def _by_edits(known: DataFrame, best: DataFrame, at: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one hub and different components that share an edit among each one's rarest."""
+    several = at.groupBy("hub").agg(F.min("c").alias("low_c"), F.max("c").alias("high_c")).filter("low_c < high_c").select("hub")
+    rows = known.join(several, "hub").join(best.select("hub", "low_other"), "hub")
+    posted = rows.select("hub", "doc_id", F.explode("edits").alias("edit"))
+    shared = posted.groupBy("hub", "edit").agg(F.count("*").alias("df")).filter("df > 1")
+    ordered = posted.join(shared, ["hub", "edit"]).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("df", "edit"))).alias("shared"))
+    # So many common edits are needed at least, whoever the partner is; the hub itself was compared with all.
+    need = F.expr(f"greatest(1L, cast(ceil((margin + low_other) / {2.0 * (100 + percent)}) as bigint))")
+    rare = rows.select("hub", "doc_id", "margin", need.alias("need")).join(ordered, "doc_id").withColumn("size", F.size("shared")).filter("size >= need")
+    prefix = rare.select("hub", "doc_id", "margin", "size", F.expr("posexplode(slice(shared, 1, cast(size - need + 1 as int)).edit)").alias("pos", "edit")).join(at.select("doc_id", "c"), "doc_id")
+    # With this very partner more may be needed; the first common edit then stands further up in both lists.
+    pair_need = f"greatest(1L, cast(ceil((s.margin + m.x_margin) / {2.0 * (100 + percent)}) as bigint))"
+    return _pairs(prefix, ["hub", "edit"], ["c"], ["margin", "size", "pos"], f"s.pos + {pair_need} <= s.size and m.x_pos + {pair_need} <= m.x_size")
+
+
+def _across(postings: DataFrame, at: DataFrame) -> DataFrame:
+    """Pairs that share a posting and have neither hub nor component in common."""
+    members = postings.select("doc_id", "key").join(at, "doc_id")
+    return _pairs(members, ["key"], ["c", "hub"])
+
+
+def _pairs(members: DataFrame, keys: list[str], apart: list[str], more: list[str] = [], where: str = "true") -> DataFrame:  # noqa: B006
+    """Pairs under one key that differ in all of `apart` and satisfy `where`, which may use `more`; keys whose members agree in one of them are left out first.
+
+    Members that have the key's commonest value do not meet each other, so a key of one large group is not expanded.
     """
-    n = postings.select("doc_id").distinct().count()
-    state, tried = None, None
-    members = postings.withColumn("c", F.col("doc_id"))
-    links = None
-
-    def add(pairs: DataFrame) -> bool:
-        nonlocal links, state
-        found = stored(judged(pairs).select(F.col("a").alias("u"), F.col("b").alias("v")))
-        if found.isEmpty():
-            return False
-        links = found if state is None else state.union(found)
-        state = components(links)
-        return True
-
-    for turn in range(MOST_ROUNDS):
-        pairs = _to_hubs(members, turn)
-        pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-        tried = pairs if tried is None else tried.union(pairs)
-        if add(pairs):
-            members = stored(postings.join(state, postings["doc_id"] == state["u"], "left").select(postings["doc_id"], "key", F.coalesce("v", postings["doc_id"]).alias("c")))
-        if _left(members) <= PAIRS_PER_CLASS * n:
-            break
-    add(stored(_across(members).join(tried, ["a", "b"], "left_anti")))
-    return state if state is not None else tried.select(F.col("a").alias("u"), F.col("b").alias("v")).limit(0)
-
-
-def _to_hubs(members: DataFrame, turn: int) -> DataFrame:
-    """In each posting of several components, the member of first priority and each member outside its component."""
-    first = F.min(F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("p"), "doc_id", "c"))
-    hubs = members.groupBy("key").agg(first.alias("hub"), F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high")
-    met = members.join(hubs.select("key", "hub"), "key").filter("c <> hub.c")
-    return met.select(F.least("doc_id", "hub.doc_id").alias("a"), F.greatest("doc_id", "hub.doc_id").alias("b")).distinct()
-
-
-def _by_component(members: DataFrame) -> DataFrame:
-    """For each posting with several components: its largest component and the pairs across components."""
-    sizes = members.groupBy("key", "c").agg(F.count("*").alias("n"))
-    return sizes.groupBy("key").agg(F.max(F.struct("n", "c")).alias("top"), F.sum("n").alias("all"), F.sum(F.expr("n * n")).alias("own"), F.count("*").alias("m")).filter("m > 1")
-
-
-def _left(members: DataFrame) -> int:
-    return _by_component(members).agg(F.coalesce(F.sum(F.expr("(all * all - own) div 2")), F.lit(0)).alias("n")).first()["n"]
-
-
-def _across(members: DataFrame) -> DataFrame:
-    """Pairs of different components in a posting: each member outside the largest component meets the others."""
-    top = _by_component(members).select("key", F.col("top.c").alias("top"))
-    several = members.join(top, "key")
-    minor = several.filter("c <> top").select("key", F.col("doc_id").alias("x"), F.col("c").alias("cx"))
-    met = several.join(minor, "key").filter("c <> cx and (c = top or doc_id < x)")
+    one = apart[-1]
+    kinds = members.groupBy(*keys, one).agg(F.count("*").alias("m")).groupBy(*keys).agg(F.max(F.struct("m", F.col(one).alias("top"))).alias("top"), F.count("*").alias("kinds"))
+    several = members.join(kinds.filter("kinds > 1").select(*keys, F.col("top.top").alias("top")), keys)
+    minor = several.filter(F.col(one) != F.col("top")).select(*keys, F.col("doc_id").alias("x"), *(F.col(k).alias(f"x_{k}") for k in [*apart, *more]))
+    differ = " and ".join([*(f"s.{k} = m.{k}" for k in keys), *(f"s.{k} <> m.x_{k}" for k in apart)])
+    met = several.alias("s").join(minor.alias("m"), F.expr(f"{differ} and (s.{one} = s.top or s.doc_id < m.x) and {where}"))
     return met.select(F.least("doc_id", "x").alias("a"), F.greatest("doc_id", "x").alias("b")).distinct()
 
 
