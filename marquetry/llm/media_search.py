@@ -270,8 +270,17 @@ def pictures(vectors: DataFrame, edit: bool = False) -> DataFrame:
     return rows.mapInArrow(run, "image_id long, media binary")
 
 
+#: Matches are listed by ranges of so many ids, which bounds a list's length.
+LISTED = 1_000_000
+
+
 def copies(vectors: DataFrame) -> DataFrame:
-    """Edited pictures of the rows whose vec_id is divisible by 50, searched among the pictures of all rows."""
-    asked = vectors.filter("vec_id % 50 = 0")
+    """Edited pictures of the rows whose vec_id is divisible by 50, searched among the pictures of all rows.
+
+    query_id, edit, part (image_id div LISTED), image_ids (ascending), inliers (in that order), n_matches.
+    """
+    found = search(pictures(vectors.filter("vec_id % 50 = 0"), True), pictures(vectors))
     edit = F.element_at(F.array(*map(F.lit, EDITS)), (F.floor(F.col("query_id") / 50) % len(EDITS) + 1).cast("int"))
-    return search(pictures(asked, True), pictures(vectors)).withColumn("edit", edit)
+    pairs = F.sort_array(F.collect_list(F.struct("image_id", "inliers")))
+    listed = found.groupBy("query_id", F.expr(f"image_id div {LISTED}").alias("part")).agg(pairs.alias("m"))
+    return listed.select("query_id", edit.alias("edit"), "part", F.col("m.image_id").alias("image_ids"), F.col("m.inliers").alias("inliers"), F.size("m").cast("long").alias("n_matches"))
