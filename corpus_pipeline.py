@@ -27,7 +27,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Of each group of near duplicates (five words, 0.8) the least doc_id stays."""
     reachable(spark)
     gone = near_dedup.near_groups(docs).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    few = stored(gone)
+    sent = F.broadcast(few) if few.count() <= near_dedup.SENT_IDS else few
+    return docs.join(sent, "doc_id", "left_anti").select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

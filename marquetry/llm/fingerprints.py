@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquetry.llm.common import shuffle_partitions, slices, stored
-from marquetry.llm.near_dedup import link
+from marquetry.llm.near_dedup import link, only
 from marquetry.llm.shingles import shingle_hashes, signatures
 
 PERMUTATIONS, WORDS, PERCENT = 128, 5, 80
@@ -124,7 +124,7 @@ def near_classes(prints: DataFrame, docs: DataFrame, words: int = WORDS, percent
     shared = posted.groupBy("key").agg(F.count("*").alias("df")).filter("df > 1")
     met = posted.join(shared, "key")
     postings = stored(met.join(met.groupBy("doc_id").agg(F.sum("df").alias("weight")), "doc_id").select("doc_id", "key", "weight"))
-    texts = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(postings.select("doc_id").distinct(), "doc_id", "left_semi"))
+    texts = stored(only(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), postings.select("doc_id").distinct()))
     places = F.expr(f"transform(sequence(0, {PERMUTATIONS - 1}), k -> cast(conv(hex(substring(fingerprint, 2 * k + 1, 2)), 16, 10) as int))")
     held = lone.join(postings.select("doc_id").distinct(), F.col("rep") == F.col("doc_id"), "left_semi").select(F.col("rep").alias("doc_id"), F.lit(1).alias("n_shingles"), places.alias("signature"))
     state = link(postings, stored(held), texts, words, percent, 2 * ROWS)

@@ -41,6 +41,8 @@ from marquetry.llm.components import components
 from marquetry.llm.shingles import mix, shingle_sets, signatures
 
 COORDINATES, LEAST = 64, 36
+#: Up to so many ids (16 MB) are sent to all tasks; more of them meet the texts in a shuffled join.
+SENT_IDS = 2_000_000
 SETS = "doc_id long, n_shingles long, h1 long, h2 long, signature array<int>"
 
 
@@ -66,6 +68,11 @@ def sets_of(docs: DataFrame, words: int, coordinates: int = COORDINATES) -> Data
     return _texts(docs).mapInArrow(run, SETS)
 
 
+def only(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose doc_id is among ids, without shuffling the rows where the ids are few enough."""
+    return rows.join(F.broadcast(ids) if ids.count() <= SENT_IDS else ids, "doc_id", "left_semi")
+
+
 def _paired(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
@@ -117,8 +124,8 @@ def links_between(classes: DataFrame, texts: DataFrame, words: int, percent: int
     ordered = posted.join(shared, "key").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("keys"), F.sum("df").alias("weight"))
     prefixes = stored(ordered.filter(F.size("keys") >= least).select("doc_id", "weight", F.expr(f"explode(slice(keys, 1, size(keys) - {least} + 1).key)").alias("key")))
     few = prefixes.select("doc_id").distinct()
-    held = stored(classes.join(few, "doc_id", "left_semi").select("doc_id", "n_shingles", "signature"))
-    texts = stored(texts.join(few, "doc_id", "left_semi"))
+    held = stored(only(classes, few).select("doc_id", "n_shingles", "signature"))
+    texts = stored(only(texts, few))
 
     return link(prefixes, held, texts, words, percent, least)
 
