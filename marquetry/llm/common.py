@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -24,7 +25,9 @@ def scratch(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir; only where that is unset (tests), below a local one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="marquetry-")
+        local = tempfile.mkdtemp(prefix="marquetry-")
+        atexit.register(shutil.rmtree, local, True)
+        root = f"file://{local}"
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/marquetry-{uuid.uuid4().hex}"
 
