@@ -16,15 +16,17 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquetry.llm.common import shuffle_partitions, slices, stored
 from marquetry.llm.near_dedup import link, only
+from marquetry.llm.packed import opened, pack
 from marquetry.llm.shingles import shingle_hashes, signatures
 
 PERMUTATIONS, WORDS, PERCENT = 128, 5, 80
@@ -63,6 +65,16 @@ def _probe(ids: list, texts: list[str], following: list[str]) -> list[pa.Array]:
     ]
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """rows (doc_id, text, h) with packed texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pack(batch.column("text")), batch.column("h")], names=["doc_id", "text", "h"])
+
+    return rows.mapInArrow(run, "doc_id long, text binary, h long")
+
+
 _NAMES = [c.split()[0] for c in PROBED.split(", ")]
 
 
@@ -76,8 +88,8 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = [pa.array([doc], pa.int64()), *blank, pa.array([kind], pa.int32()), pa.array([part], pa.int32()), pa.array([text], pa.string())]
         return pa.RecordBatch.from_arrays(columns, names=[*_NAMES, "kind", "part", "text"])
 
-    for batch in slices(batches, "text"):
-        ids, texts = batch.column("doc_id").to_pylist(), pa.compute.fill_null(batch.column("text"), "").to_pylist()
+    for batch in opened(batches, ["text"]):
+        ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
         if held is None:
             yield edge(1, ids[0], texts[0])
         else:
@@ -94,10 +106,11 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def neighbours(docs: DataFrame) -> DataFrame:
     """The columns of PROBED, fingerprints as bytes; one row for each row of docs."""
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    order = ["doc_id", F.xxhash64(F.coalesce("text", F.lit("")))]
+    rows = _packed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("h")))
+    order = ["doc_id", "h"]
     dealt = rows.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
-    walked = stored(dealt.mapInArrow(_walk, f"{PROBED}, kind int, part int, text string"))
+    with freed(spark):
+        walked = stored(dealt.mapInArrow(_walk, f"{PROBED}, kind int, part int, text string"))
     full = sorted(r["part"] for r in walked.filter("kind = 2").select("part").collect())  # one number for each task
     after = spark.createDataFrame(list(zip(full, full[1:] + full[:1], strict=True)), "part int, next_part int")
     lasts = walked.filter("kind = 2").select("part", "doc_id", "text").join(after, "part")
@@ -111,24 +124,59 @@ def neighbours(docs: DataFrame) -> DataFrame:
     return walked.filter("kind = 0").select(*_NAMES).union(seams)
 
 
-def near_classes(prints: DataFrame, docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """prints (doc_id, fingerprint) -> doc_id, class_id: the least doc_id reachable over links that share a band and whose full sets are confirmed.
+#: Shuffle files go with the action that wrote them; every action here writes a table that is read from then on.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-    Equal fingerprints are joined as one node first, through their own key.
-    """
-    nodes = prints.filter("doc_id is not null").select("doc_id", "fingerprint")
-    lone = nodes.groupBy("fingerprint").agg(F.min("doc_id").alias("rep"))
+
+@contextmanager
+def freed(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
+def _keyed(prints: DataFrame) -> DataFrame:
+    """With 128 bits that stand for the fingerprint."""
+    return prints.withColumn("h1", F.xxhash64("fingerprint")).withColumn("h2", F.xxhash64(F.lit(1), F.col("fingerprint")))
+
+
+def _classes(prints: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """h1, h2, class_id of the fingerprints that stand on several rows or are linked with a smaller doc_id."""
+    own = ["h1", "h2"]
     blank = F.lit(bytes([255] * 2 * PERMUTATIONS))
+    nodes = _keyed(prints.select("doc_id", "fingerprint")).filter((F.col("fingerprint") != blank) & F.col("doc_id").isNotNull())
+    several = stored(nodes.groupBy(*own).agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).filter("n > 1").drop("n"))
+    single = nodes.join(several, own, "left_anti")
+    firsts = nodes.join(several, own).filter("doc_id = rep").drop("rep").dropDuplicates(["doc_id", *own])
+    lone = single.unionByName(firsts)
     bands = F.expr(f"explode(transform(sequence(0, {BANDS - 1}), b -> xxhash64(b, substring(fingerprint, b * {2 * ROWS} + 1, {2 * ROWS}))))")
-    posted = lone.filter(F.col("fingerprint") != blank).select(F.col("rep").alias("doc_id"), bands.alias("key"))
+    posted = lone.select("doc_id", bands.alias("key"))
     shared = posted.groupBy("key").agg(F.count("*").alias("df")).filter("df > 1")
-    met = posted.join(shared, "key")
+    met = stored(posted.join(shared, "key").select("doc_id", "key", "df"))
     postings = stored(met.join(met.groupBy("doc_id").agg(F.sum("df").alias("weight")), "doc_id").select("doc_id", "key", "weight"))
-    texts = stored(only(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), postings.select("doc_id").distinct()))
+    ids = stored(postings.select("doc_id").distinct())
+    texts = only(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.lit(0).cast("long").alias("h")), ids)
     places = F.expr(f"transform(sequence(0, {PERMUTATIONS - 1}), k -> cast(conv(hex(substring(fingerprint, 2 * k + 1, 2)), 16, 10) as int))")
-    held = lone.join(postings.select("doc_id").distinct(), F.col("rep") == F.col("doc_id"), "left_semi").select(F.col("rep").alias("doc_id"), F.lit(1).alias("n_shingles"), places.alias("signature"))
-    state = link(postings, stored(held), texts, words, percent, 2 * ROWS)
-    reps = lone.join(state, lone["rep"] == state["u"], "left").select("fingerprint", F.coalesce("v", "rep").alias("class_id"))
-    joined = prints.select("doc_id", "fingerprint").join(reps, "fingerprint", "left")
-    own = (F.col("fingerprint") == blank) | F.col("doc_id").isNull()
-    return joined.select("doc_id", F.when(own, F.col("doc_id")).otherwise(F.coalesce("class_id", "doc_id")).alias("class_id"))
+    held = stored(only(lone, ids).select("doc_id", F.lit(1).alias("n_shingles"), places.alias("signature")))
+    state = link(postings, held, stored(_packed(texts).select("doc_id", "text")), words, percent, 2 * ROWS)
+    linked = lone.join(state, F.col("doc_id") == F.col("u")).select(*own, F.col("v").alias("class_id"))
+    return stored(linked.union(several.select(*own, F.col("rep").alias("class_id"))).groupBy(*own).agg(F.min("class_id").alias("class_id")))
+
+
+def classed(prints: DataFrame, docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """prints with class_id: the least doc_id reachable over links that share a band and whose full sets are confirmed.
+
+    Equal fingerprints are joined as one node first. Rows without words or without a doc_id are alone.
+    """
+    with freed(docs.sparkSession):
+        found = _classes(prints, docs, words, percent)
+    class_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id"))
+    return _keyed(prints).join(found, ["h1", "h2"], "left").select(*prints.columns, class_id.alias("class_id"))
+
+
+def near_classes(prints: DataFrame, docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """prints (doc_id, fingerprint) -> doc_id, class_id, as `classed` gives it."""
+    return classed(prints, docs, words, percent).select("doc_id", "class_id")

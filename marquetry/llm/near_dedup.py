@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from marquetry.llm.common import slices, stored
 from marquetry.llm.components import components
+from marquetry.llm.packed import opened
 from marquetry.llm.shingles import mix, shingle_sets, signatures
 
 COORDINATES, LEAST = 64, 36
@@ -89,7 +90,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
     """Pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text_a", 1_000_000):
+        for batch in opened(batches, ["text_a", "text_b"], 1_000_000):
             keep = []
             for x, y in _both(batch, words):
                 both = len(np.intersect1d(x, y, assume_unique=True))
@@ -103,7 +104,7 @@ def edits(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """pairs (a: a hub, b) -> hub, doc_id, n, s, edits (hashes of the shingles that one of both has alone)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text_a", 1_000_000):
+        for batch in opened(batches, ["text_a", "text_b"], 1_000_000):
             n, alone = [], []
             for x, y in _both(batch, words):
                 n.append(len(y))
@@ -142,7 +143,7 @@ def _agreeing(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
 def link(postings: DataFrame, held: DataFrame, texts: DataFrame, words: int, percent: int, least: int) -> DataFrame:
     """Components, as `components` gives them, of the links among rows that share a posting.
 
-    postings: doc_id, key, weight. held: doc_id, n_shingles, signature. texts: doc_id, text.
+    postings: doc_id, key, weight. held: doc_id, n_shingles, signature. texts: doc_id, text (plain or packed).
     """
 
     def judged(pairs: DataFrame) -> DataFrame:

@@ -20,10 +20,10 @@ def vocabulary(name: str) -> str:
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The banded join of near classes is an operator of its own (fingerprints.near_classes); its shuffles go beyond this query's disk."""
-    probed = fingerprints.neighbours(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    probed = fingerprints.classed(fingerprints.neighbours(docs), docs)
     prints = (F.lower(F.hex(c)).alias(c) for c in ("fingerprint", "edited_fingerprint"))
-    return probed.select("doc_id", "n_chars", "edited_sha256", *prints, "near_edited", "near_next")
+    return probed.select("doc_id", "n_chars", "edited_sha256", *prints, "near_edited", "near_next", "class_id")
 
 
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
