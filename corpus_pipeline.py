@@ -16,9 +16,11 @@ from marquetry.plans.session import reachable
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (no text, no letter) go; the others' lang is the predicted one."""
+    """Documents without a language (no text, no letter) go; the others' lang is the predicted one, or as it was where no language could be learned."""
     reachable(spark)
     model = language_id.train(docs)
+    if not model.languages:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     found = language_id.predict(docs, model, "_lang_pred", "_lang_score").filter(F.col("_lang_pred") != language_id.NONE)
     return found.withColumn("lang", F.col("_lang_pred")).select(*docs.columns)
 
