@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquetry.llm import language_id, near_dedup, packing, secret_scans
-from marquetry.llm.common import stored, table
+from marquetry.llm.common import shuffle_partitions, stored, table
 from marquetry.llm.registry import vocabulary
 from marquetry.plans.session import reachable
 
@@ -26,14 +26,26 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five words, 0.8) the least doc_id stays."""
+    """Of each group of near duplicates (five words, 0.8) the least doc_id stays; of rows with one doc_id, the least text hash, and one of equal rows."""
     reachable(spark)
+    repeated = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
+    if not repeated.isEmpty():
+        return _least_rows(spark, docs)
     gone = near_dedup.near_groups(docs).filter(~F.col("kept")).select("doc_id").distinct()
     few = stored(gone)
     sent = F.broadcast(few) if few.count() <= near_dedup.SENT_IDS else few
     return docs.join(sent, "doc_id", "left_anti").select(*docs.columns)
 
 
+def _least_rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """near_duplicates with rows numbered in order of doc_id and text hash, as a doc_id does not tell them apart."""
+    order = ["doc_id", F.xxhash64("text")]
+    dealt = docs.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
+    rows = stored(dealt.withColumn("_row", F.monotonically_increasing_id())).withColumn("_row", F.expr("if(doc_id is null, null, _row)"))
+    gone = near_dedup.near_groups(rows.select(F.col("_row").alias("doc_id"), "text")).filter(~F.col("kept")).select(F.col("doc_id").alias("_row"))
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Reported secrets are masked; every document stays."""
     reachable(spark)
