@@ -96,11 +96,14 @@ class Engine:
         prompted = prompted.withColumn("message", F.when((F.col("status") == "ok") & reason.isNotNull(), reason).otherwise(F.col("message"))).withColumn("status", F.when(valid, "ok").otherwise(F.when(F.col("status") == "ok", "rejected").otherwise(F.col("status")))).withColumn("prompt", F.when(valid, sentence))
         published = P.publish(self.spark, keyed, P.products(keyed, prompted, scened))
         failed = prompted.filter("status <> 'ok'").select("sample_id", F.lit("prompt").alias("stage"), "error_type", "message").unionAll(scened.filter("status <> 'ok'").select("sample_id", F.lit("reference"), "error_type", "message"))
+        failures = str(Path(c.output.root) / "failures")
+        failed.write.mode("overwrite").json(failures)  # all of them; the report lists the first
+        failed = self.spark.read.schema("sample_id string, stage string, error_type string, message string").json(failures)
         errors = [r.asDict() for r in failed.orderBy("sample_id", "stage").limit(100).collect()]
         counts = {r["branch"]: r.asDict() for r in B.accounts(prompted, scened).collect()}
         report = {
             "selected": n, "published": published["episodes"], "datasets": published["datasets"], "prompt_cache_hits": prompt_hits, "reference_cache_hits": reference_hits, "branches": counts,
-            "failed_samples": failed.select("sample_id").distinct().count(), "errors": errors, "elapsed_seconds": round(time.monotonic() - began, 3),
+            "failed_samples": failed.select("sample_id").distinct().count(), "errors": errors, "error_count": failed.count(), "failures": failures, "elapsed_seconds": round(time.monotonic() - began, 3),
         }
         rates = c.runtime.input_cost_per_million, c.runtime.output_cost_per_million
         if None not in rates and "prompt" in counts:
