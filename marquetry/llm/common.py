@@ -7,6 +7,8 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; only where that is unset (tests), below a local one."""
+    """A new folder below spark.checkpoint.dir; where that is unset, below a local one, in local mode (tests) only."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         local = tempfile.mkdtemp(prefix="marquetry-")
         atexit.register(shutil.rmtree, local, True)
         root = f"file://{local}"
@@ -40,12 +44,41 @@ def _remove(spark: SparkSession, path: str) -> None:
         return
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and read it back: it is computed once, and a lost executor costs nothing written."""
+#: Scratch tables of the operator that is running; they go at its end.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scope", default=None)
+#: Shuffle files go with the action that wrote them; inside a scope every action writes a table that is read from then on.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def scoped(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside go at the end, but for those with `keep`, and shuffle files with their actions."""
+    before = spark.conf.get(CLEANUP, "false")
+    own: list[str] = []
+    token = _SCOPE.set(own)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        spark.conf.set(CLEANUP, before)
+        for path in own:
+            _remove(spark, path)
+
+
+def stored(df: DataFrame, keep: bool = False) -> DataFrame:
+    """Write df to the shared folder and read it back: it is computed once, and a lost executor costs nothing written.
+
+    The table goes with the scope it is in (`scoped`); with `keep`, or outside of one, at the interpreter's exit.
+    """
     spark = df.sparkSession
     path = scratch(spark)
     df.write.parquet(path)
-    atexit.register(_remove, spark, path)
+    scope = _SCOPE.get()
+    if scope is None or keep:
+        atexit.register(_remove, spark, path)
+    else:
+        scope.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,56 +1,60 @@
 """MinHash near-dedup by a signature-coordinate inverted join.
 
-1. Each text becomes its set of shingles; texts of equal sets form a class, held by its least doc_id.
-2. Each class is posted under each (coordinate, value) of its signature. Postings of one class only
-   tell nothing and go; a class needs `least` shared ones to have any partner.
-3. Coordinates are put in order of frequency. Two classes that agree on `least` of them share one among
-   each one's rarest (its own count - least + 1): only that prefix is joined, the rest is skipped
-   and looked up in the signatures, which give the count of agreements.
+1. Each text becomes its set of shingles; texts of equal sets form a class, held by its least id.
+2. A signature has 32 coordinates, each made of the least values of two hash permutations, so that two
+   sets of Jaccard likeness j agree on one with probability j * j. Such coordinates stay selective
+   where a large corpus has used up its word pairs and single values are shared by everything.
+3. Each class is posted under each (coordinate, value). Values of one class only tell nothing and go;
+   a class needs `least` shared ones to have any partner. Its values are put in order of frequency: two classes that agree on
+   `least` of them share one among each one's rarest (its own count - least + 1). Only that prefix is
+   joined, the rest is skipped and looked up in the signatures, which give the count of agreements.
 4. Pairs that agree on `least` coordinates or more are confirmed on the full sets.
 
-Long postings are never expanded into all pairs. Each posting has a hub, the member whose coordinates
-are the most frequent, and all members are compared with it. A class then refers to the most frequent
-hub that it met and is somewhat like, and is known by its edits: the shingles that it or the hub has alone. For two classes
+Long postings are never expanded into all pairs. Each posting has a head, the member whose coordinates
+are the most frequent. A class refers to the most frequent head that it met and is somewhat like, its hub, and is
+known by its edits: the shingles that it or the hub has alone. For two classes
 with one hub, edit counts s and sizes n, the sets differ in s + s' - 2 * (edits in common) shingles and
 may differ in a fixed share of n + n'. So without any common edit they link only if s and s' are
 small enough together, and then both link with the class of the hub for which s is least against n;
 any other link has so many common edits that one is among each one's rarest. Edits are therefore joined by
 that prefix, as coordinates are, and copies of one text with edits of their own never meet. Classes with
-different hubs meet in their postings. Every pair that meets and is not yet connected is compared,
-so no link between different texts is lost.
+different hubs meet in their postings; where that would make more than WIDE pairs in one posting, its members are also known by
+their edits of its head instead. Every pair that meets and is not yet connected is compared, first the likest of each
+two components, then what is still apart, so no link between different texts is lost.
 
-`least` is 36 of 64: a pair at the threshold of 0.8 agrees on 51 of 64 with a deviation of 3.2, so
-one pair in a million at that very threshold may fall below, and fewer of those above it.
+`least` is 6 of 32: a pair at the threshold of 0.8 agrees on 20 of 32, and on fewer than 6 once in forty million.
 
 Null and empty texts have empty sets and link with nothing; rows with a null doc_id are returned
-with no component and are kept; repeated rows link as equal texts; several texts under one doc_id
-are nodes that may share their number; other columns are ignored.
+with no component and are kept; repeated rows link as equal texts; where a doc_id stands on several
+rows, each text is a node of its own and the component is the least doc_id in it; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquetry.llm.common import slices, stored
+from marquetry.llm.common import scoped, shuffle_partitions, slices, stored
 from marquetry.llm.components import components
-from marquetry.llm.packed import opened
+from marquetry.llm.packed import opened, pack
 from marquetry.llm.shingles import mix, shingle_sets, signatures
 
-COORDINATES, LEAST = 64, 36
-#: Up to so many ids (16 MB) are sent to all tasks; more of them meet the texts in a shuffled join.
-SENT_IDS = 2_000_000
+COORDINATES, LEAST = 32, 6
+#: So many agreements make a class known by its edits of a head (a likeness of about 0.25).
+ALIKE = 2
+#: A posting makes so many pairs at most; the members of wider ones are compared by their edits of its head.
+WIDE = 4096
+#: So many texts meet one copy of their hub's text.
+GROUP = 256
+#: Up to so many rows of four numbers (32 MB) are sent to all tasks; more of them meet the texts in a shuffled join.
+SENT_IDS = 1_000_000
 SETS = "doc_id long, n_shingles long, h1 long, h2 long, signature array<int>"
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-
-
 def sets_of(docs: DataFrame, words: int, coordinates: int = COORDINATES) -> DataFrame:
     """doc_id, n_shingles, 128 bits that stand for the set, signature."""
 
@@ -62,135 +66,193 @@ def sets_of(docs: DataFrame, words: int, coordinates: int = COORDINATES) -> Data
             np.cumsum(mix(hashes + np.uint64(1)), out=sums[0, 1:])
             np.cumsum(mix(hashes ^ np.uint64(0x5555555555555555)), out=sums[1, 1:])
             h1, h2 = ((s[ends] - s[ends - sizes]).view(np.int64) for s in sums)
-            values = signatures(hashes, sizes, coordinates).astype(np.uint32).view(np.int32).ravel()
+            least = signatures(hashes, sizes, 2 * coordinates)
+            values = (mix(least[:, ::2]) ^ least[:, 1::2]).astype(np.uint32).view(np.int32).ravel()
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * coordinates), pa.array(values))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes), pa.array(h1), pa.array(h2), lists], names=[c.split()[0] for c in SETS.split(", ")])
 
-    return _texts(docs).mapInArrow(run, SETS)
+    return docs.mapInArrow(run, SETS)
 
 
-def only(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows whose doc_id is among ids, without shuffling the rows where the ids are few enough."""
-    return rows.join(F.broadcast(ids) if ids.count() <= SENT_IDS else ids, "doc_id", "left_semi")
+def _few(df: DataFrame) -> DataFrame:
+    """A written table of a few numbers a row: sent to all tasks if it is small."""
+    return F.broadcast(df) if df.count() <= SENT_IDS else df
 
 
-def _paired(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
+_TAGGED = "hub long, salt long, kind int, b long, text binary"
 
 
-def _both(batch: pa.RecordBatch, words: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The two sets of each pair of texts."""
-    found = [shingle_sets(batch.column(c), words) for c in ("text_a", "text_b")]
-    return zip(*(np.split(h, np.cumsum(s)[:-1]) for h, s in found), strict=True)
+def beside(pairs: DataFrame, texts: DataFrame, words: int, judge: Callable[[np.ndarray, np.ndarray], tuple | None], columns: dict[str, pa.DataType]) -> DataFrame:
+    """a, b and what judge(set of a, set of b) gives as `columns`, for every pair (a, b) but those for which it gives None.
+
+    pairs: a written table. texts: doc_id, text; ids occur once. The text of b goes to a's, of which every GROUP
+    pairs have a copy, so that any share of all pairs may have one a. Texts travel packed.
+    """
+    spark = pairs.sparkSession
+    counted = stored(pairs.groupBy("a").agg(F.count("*").alias("m")))
+    sized = pairs.join(_few(counted), "a").select(F.col("a").alias("hub"), F.expr(f"pmod(xxhash64(b), ceil(m / {GROUP}))").alias("salt"), "b")
+    left = counted.select(F.col("a").alias("hub"), F.expr(f"explode(sequence(0L, cast(ceil(m / {GROUP}) as bigint) - 1))").alias("salt"), F.lit(0).alias("kind"), F.col("a").alias("b"))
+    asked = stored(left.unionByName(sized.withColumn("kind", F.lit(1))))
+    found = texts.join(_few(asked), texts["doc_id"] == asked["b"]).select("hub", "salt", "kind", "b", "text")
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pack(batch.column("text"))], names=batch.schema.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, head = None, None
+        for batch in opened(batches, ["text"], 1_000_000):
+            hashes, sizes = shingle_sets(batch.column("text"), words)
+            sets = np.split(hashes, np.cumsum(sizes)[:-1])
+            out: list[tuple] = []
+            for group, kind, b, found in zip(batch.column("hub").to_pylist(), batch.column("kind").to_pylist(), batch.column("b").to_pylist(), sets, strict=True):
+                if kind == 0:
+                    hub, head = group, found
+                elif group == hub and (told := judge(head, found)) is not None:
+                    out.append((group, b, *told))
+            values = list(zip(*out, strict=True)) or [()] * (2 + len(columns))
+            kinds = [pa.int64(), pa.int64(), *columns.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, kinds, strict=True)], names=["a", "b", *columns])
+
+    told = {pa.int64(): "long", pa.list_(pa.int64()): "array<long>"}
+    dealt = found.mapInArrow(packed, _TAGGED).repartition(shuffle_partitions(spark), "hub", "salt").sortWithinPartitions("hub", "salt", "kind")
+    return dealt.mapInArrow(run, ", ".join(["a long", "b long", *(f"{c} {told[t]}" for c, t in columns.items())]))
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in opened(batches, ["text_a", "text_b"], 1_000_000):
-            keep = []
-            for x, y in _both(batch, words):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+    def judge(x: np.ndarray, y: np.ndarray) -> tuple | None:
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return () if 100 * both >= percent * (len(x) + len(y) - both) else None
 
-    return _paired(pairs, texts).mapInArrow(run, "a long, b long")
+    return beside(pairs, texts, words, judge, {})
 
 
 def edits(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """pairs (a: a hub, b) -> hub, doc_id, n, s, edits (hashes of the shingles that one of both has alone)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in opened(batches, ["text_a", "text_b"], 1_000_000):
-            n, alone = [], []
-            for x, y in _both(batch, words):
-                n.append(len(y))
-                alone.append(np.setxor1d(x, y, assume_unique=True).view(np.int64))
-            columns = [*batch.select(["a", "b"]).columns, pa.array(n, pa.int64()), pa.array([len(e) for e in alone], pa.int64()), pa.array(alone, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["hub", "doc_id", "n", "s", "edits"])
+    """pairs (a: a hub, b) -> hub, doc_id, n_hub, n, s, edits (hashes of the shingles that one of both has alone)."""
 
-    return _paired(pairs, texts).mapInArrow(run, "hub long, doc_id long, n long, s long, edits array<long>")
+    def judge(x: np.ndarray, y: np.ndarray) -> tuple:
+        alone = np.setxor1d(x, y, assume_unique=True).view(np.int64)
+        return len(x), len(y), len(alone), alone
 
+    kinds = {"n_hub": pa.int64(), "n": pa.int64(), "s": pa.int64(), "edits": pa.list_(pa.int64())}
+    return beside(pairs, texts, words, judge, kinds).withColumnsRenamed({"a": "hub", "b": "doc_id"})
 
-def links_between(classes: DataFrame, texts: DataFrame, words: int, percent: int, least: int = LEAST) -> DataFrame:
-    """(u, v): classes in a component with a smaller class, and that component's least class.
 
-    classes: doc_id, n_shingles, signature; one row for each distinct set that is not empty.
-    """
+def postings_of(classes: DataFrame, least: int = LEAST) -> DataFrame:
+    """doc_id, key, weight: the prefix under which each class that may have a partner is posted, and the frequency of all its coordinates."""
     posted = classes.select("doc_id", F.posexplode("signature").alias("k", "value")).select("doc_id", F.expr("shiftleft(cast(k as bigint), 32) | (cast(value as bigint) & 4294967295)").alias("key"))
     shared = posted.groupBy("key").agg(F.count("*").alias("df")).filter("df > 1")
     ordered = posted.join(shared, "key").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("keys"), F.sum("df").alias("weight"))
-    prefixes = stored(ordered.filter(F.size("keys") >= least).select("doc_id", "weight", F.expr(f"explode(slice(keys, 1, size(keys) - {least} + 1).key)").alias("key")))
-    few = prefixes.select("doc_id").distinct()
-    held = stored(only(classes, few).select("doc_id", "n_shingles", "signature"))
-    texts = stored(only(texts, few))
-
-    return link(prefixes, held, texts, words, percent, least)
+    return ordered.filter(F.size("keys") >= least).select("doc_id", F.expr(f"explode(slice(keys, 1, size(keys) - {least} + 1).key)").alias("key"), "weight")
 
 
 def _agreeing(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) with `same`, on how many coordinates they agree, and `sized`, whether their sizes allow a link."""
+    """Pairs (a, b) with `same`, on how many coordinates they agree; `sized` and `alike`: whether their sizes allow a link, and a likeness of 0.25."""
     a = held.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("signature").alias("s_a"))
     b = held.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("signature").alias("s_b"))
     same = F.expr("size(filter(zip_with(s_a, s_b, (x, y) -> x = y), same -> same))")
     sized = F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    return pairs.join(a, "a").join(b, "b").select(*pairs.columns, same.alias("same"), sized.alias("sized"), F.expr("2 * least(n_a, n_b) >= greatest(n_a, n_b)").alias("alike"))
+    return pairs.join(a, "a").join(b, "b").select(*pairs.columns, same.alias("same"), sized.alias("sized"), F.expr("4 * least(n_a, n_b) >= greatest(n_a, n_b)").alias("alike"))
 
 
-def link(postings: DataFrame, held: DataFrame, texts: DataFrame, words: int, percent: int, least: int) -> DataFrame:
-    """Components, as `components` gives them, of the links among rows that share a posting.
+def _hubs(met: DataFrame, held: DataFrame, percent: int, alike: int) -> DataFrame:
+    """doc_id, hub: the first of the heads that a class met and is like, or itself; the very first is tried before all others."""
+    first = met.groupBy("doc_id").agg(F.min("head").alias("head"))
 
-    postings: doc_id, key, weight. held: doc_id, n_shingles, signature. texts: doc_id, text (plain or packed).
-    """
+    def liked(pairs: DataFrame) -> DataFrame:
+        near = _agreeing(pairs.select(F.col("head.d").alias("a"), F.col("doc_id").alias("b"), "head"), held, percent)
+        return near.filter(F.col("alike") & (F.col("same") >= alike)).select(F.col("b").alias("doc_id"), "head")
+
+    once = stored(liked(first))
+    others = met.join(once, "doc_id", "left_anti").select("doc_id", "head").distinct()
+    later = liked(others).groupBy("doc_id").agg(F.min("head").alias("head"))
+    found = once.union(later).select("doc_id", F.col("head.d").alias("hub"))
+    return held.select("doc_id").join(found, "doc_id", "left").select("doc_id", F.coalesce("hub", "doc_id").alias("hub"))
 
-    def judged(pairs: DataFrame) -> DataFrame:
-        return confirm(_agreeing(pairs, held, percent).filter(F.col("sized") & (F.col("same") >= least)).select("a", "b"), texts, words, percent)
 
+def link(postings: DataFrame, held: DataFrame, texts: DataFrame, words: int, percent: int, least: int, alike: int) -> DataFrame:
+    """Components, as `components` gives them, of the links among rows that share a posting.
+
+    postings: doc_id, key, weight. held: doc_id, n_shingles, signature. texts: doc_id, text; ids occur once in both.
+    """
     rank = F.struct((-F.col("weight")).alias("w"), F.col("doc_id").alias("d"))
-    hubs = postings.groupBy("key").agg(F.min(rank).alias("hub"), F.count("*").alias("m")).filter("m > 1").select("key", "hub")
-    met = postings.join(hubs, "key").select("doc_id", "hub").distinct()
-    met = stored(_agreeing(met.select(F.col("hub.d").alias("a"), F.col("doc_id").alias("b"), "hub"), held, percent))
-    # Every row is compared with all hubs that it met, and refers to the first of those that are somewhat like it.
-    fit = F.when(F.col("alike") & (2 * F.col("same") >= least), F.col("hub"))
-    refers = stored(met.groupBy("b").agg(F.min(fit).alias("hub")).select(F.col("b").alias("doc_id"), F.coalesce("hub.d", "b").alias("hub")))
-    known = stored(edits(refers.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")), texts, words))
+    heads = postings.groupBy("key").agg(F.min(rank).alias("head"), F.count("*").alias("m")).filter("m > 1").select("key", "head")
+    met = stored(postings.join(heads, "key").select("doc_id", "key", "head"))
+    held = stored(held.join(met.select("doc_id").distinct(), "doc_id", "left_semi"))
+    refers = stored(_hubs(met, held, percent, alike))
+    wide = stored(_wide(met, refers))
+    also = met.join(wide, "key", "left_semi").join(refers, "doc_id").filter("head.d <> hub and head.d <> doc_id").select(F.col("head.d").alias("a"), F.col("doc_id").alias("b")).distinct()
+    asked = stored(refers.filter("hub <> doc_id").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).union(also))
+    known = stored(edits(asked, texts, words))
     # margin: edits less what a row may differ in for its own size, times 100 + percent.
-    known = known.withColumn("margin", F.expr(f"{100 + percent} * s - {100 - percent} * n"))
-    best = known.groupBy("hub").agg(F.min(F.struct("margin", "doc_id")).alias("best"), F.min(F.when(F.col("doc_id") != F.col("hub"), F.col("margin"))).alias("low_other"))
-    best = best.select("hub", F.col("best.margin").alias("low"), F.col("best.doc_id").alias("nearest"), "low_other")
-    near = known.join(best, "hub").filter("margin + low <= 0 and doc_id <> nearest").select(F.col("doc_id").alias("a"), F.col("nearest").alias("b"))
-    close = met.filter(F.col("sized") & (F.col("same") >= least) & (F.col("a") != F.col("b")))
-    found = stored(confirm(close, texts, words, percent).union(near).select(F.col("a").alias("u"), F.col("b").alias("v")))
-    state = components(found)
+    margin = F.expr(f"{100 + percent} * s - {100 - percent} * n")
+    near = known.withColumn("margin", margin)
+    own = known.select("hub", F.col("hub").alias("doc_id"), F.expr(f"-{100 - percent} * n_hub").alias("margin")).distinct()
+    both = near.select("hub", "doc_id", "margin").union(own)
+    best = both.groupBy("hub").agg(F.min(F.struct("margin", "doc_id")).alias("best"), F.min(F.when(F.col("doc_id") != F.col("hub"), F.col("margin"))).alias("low_other"))
+    best = stored(best.select("hub", F.col("best.margin").alias("low"), F.col("best.doc_id").alias("nearest"), "low_other"))
+    linked = known.filter(f"100 * (n_hub + n - s) >= {percent} * (n_hub + n + s)").select(F.col("hub").alias("u"), F.col("doc_id").alias("v"))
+    nearest = both.join(best, "hub").filter("margin + low <= 0 and doc_id <> nearest").select(F.col("doc_id").alias("u"), F.col("nearest").alias("v"))
+    state = components(linked.union(nearest))
+    at = stored(_placed(refers, state))
+    rest = _by_edits(near, best, at, percent).union(_across(met.join(wide, "key", "left_anti"), at)).distinct()
+    open_pairs = stored(_agreeing(rest, held, percent).filter(F.col("sized") & (F.col("same") >= least)).select("a", "b", "same"))
+    # The likest pair of each two components first: most of the others are then in one component.
+    for likest in (True, False):
+        apart = _apart(open_pairs, state)
+        if likest:
+            apart = apart.groupBy("c_a", "c_b").agg(F.max(F.struct("same", "a", "b")).alias("p")).select("p.a", "p.b")
+        chosen = stored(apart.select("a", "b"))
+        if chosen.isEmpty():
+            break
+        more = stored(confirm(chosen, texts, words, percent).select(F.col("a").alias("u"), F.col("b").alias("v")))
+        if not more.isEmpty():
+            state = components(state.union(more))
+    return state
+
+
+def _placed(refers: DataFrame, state: DataFrame) -> DataFrame:
+    """With c, the component so far."""
     placed = state.select(F.col("u").alias("doc_id"), F.col("v").alias("c"))
-    at = stored(refers.join(placed, "doc_id", "left").select("doc_id", "hub", F.coalesce("c", "doc_id").alias("c")))
-    rest = stored(_by_edits(known, best, at, percent).union(_across(postings, at)).distinct())
-    more = stored(judged(rest).select(F.col("a").alias("u"), F.col("b").alias("v")))
-    return state if more.isEmpty() else components(state.union(more))
+    return refers.join(placed, "doc_id", "left").select(*refers.columns, F.coalesce("c", "doc_id").alias("c"))
+
+
+def _apart(pairs: DataFrame, state: DataFrame) -> DataFrame:
+    """Pairs whose ends lie in different components, with these (c_a < c_b)."""
+    for end in ("a", "b"):
+        pairs = pairs.join(state.select(F.col("u").alias(end), F.col("v").alias(f"c_{end}")), end, "left").withColumn(f"c_{end}", F.coalesce(f"c_{end}", end))
+    low, high = F.least("c_a", "c_b").alias("c_a"), F.greatest("c_a", "c_b").alias("c_b")
+    return pairs.filter("c_a <> c_b").select("a", "b", "same", low, high)
 
 
-def _by_edits(known: DataFrame, best: DataFrame, at: DataFrame, percent: int) -> DataFrame:
+def _wide(met: DataFrame, refers: DataFrame) -> DataFrame:
+    """Keys under which the members of several hubs would make too many pairs."""
+    hubs = met.join(refers, "doc_id").groupBy("key", "hub").agg(F.count("*").alias("m"))
+    return hubs.groupBy("key").agg(F.sum("m").alias("m"), F.max("m").alias("top")).filter(f"(m - top) * m > {WIDE}").select("key")
+
+
+def _by_edits(near: DataFrame, best: DataFrame, at: DataFrame, percent: int) -> DataFrame:
     """Pairs of one hub and different components that share an edit among each one's rarest."""
-    several = at.groupBy("hub").agg(F.min("c").alias("low_c"), F.max("c").alias("high_c")).filter("low_c < high_c").select("hub")
-    rows = known.join(several, "hub").join(best.select("hub", "low_other"), "hub")
+    known = near.join(at.select("doc_id", "c"), "doc_id")
+    several = known.groupBy("hub").agg(F.min("c").alias("low_c"), F.max("c").alias("high_c")).filter("low_c < high_c").select("hub")
+    rows = stored(known.join(several, "hub", "left_semi").join(best.select("hub", "low_other"), "hub").select("hub", "doc_id", "c", "margin", "low_other", "edits"))
     posted = rows.select("hub", "doc_id", F.explode("edits").alias("edit"))
     shared = posted.groupBy("hub", "edit").agg(F.count("*").alias("df")).filter("df > 1")
-    ordered = posted.join(shared, ["hub", "edit"]).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("df", "edit"))).alias("shared"))
+    ordered = posted.join(shared, ["hub", "edit"]).groupBy("hub", "doc_id").agg(F.sort_array(F.collect_list(F.struct("df", "edit"))).alias("shared"))
     # So many common edits are needed at least, whoever the partner is; the hub itself was compared with all.
     need = F.expr(f"greatest(1L, cast(ceil((margin + low_other) / {2.0 * (100 + percent)}) as bigint))")
-    rare = rows.select("hub", "doc_id", "margin", need.alias("need")).join(ordered, "doc_id").withColumn("size", F.size("shared")).filter("size >= need")
-    prefix = rare.select("hub", "doc_id", "margin", "size", F.expr("posexplode(slice(shared, 1, cast(size - need + 1 as int)).edit)").alias("pos", "edit")).join(at.select("doc_id", "c"), "doc_id")
+    rare = rows.select("hub", "doc_id", "c", "margin", need.alias("need")).join(ordered, ["hub", "doc_id"]).withColumn("size", F.size("shared")).filter("size >= need")
+    prefix = stored(rare.select("hub", "doc_id", "c", "margin", "size", F.expr("posexplode(slice(shared, 1, cast(size - need + 1 as int)).edit)").alias("pos", "edit")))
     # With this very partner more may be needed; the first common edit then stands further up in both lists.
     pair_need = f"greatest(1L, cast(ceil((s.margin + m.x_margin) / {2.0 * (100 + percent)}) as bigint))"
     return _pairs(prefix, ["hub", "edit"], ["c"], ["margin", "size", "pos"], f"s.pos + {pair_need} <= s.size and m.x_pos + {pair_need} <= m.x_size")
 
 
-def _across(postings: DataFrame, at: DataFrame) -> DataFrame:
+def _across(met: DataFrame, at: DataFrame) -> DataFrame:
     """Pairs that share a posting and have neither hub nor component in common."""
-    members = postings.select("doc_id", "key").join(at, "doc_id")
+    members = met.select("doc_id", "key").join(at, "doc_id")
     return _pairs(members, ["key"], ["c", "hub"])
 
 
@@ -208,15 +270,35 @@ def _pairs(members: DataFrame, keys: list[str], apart: list[str], more: list[str
     return met.select(F.least("doc_id", "x").alias("a"), F.greatest("doc_id", "x").alias("b")).distinct()
 
 
-def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, coordinates: int = COORDINATES, least: int = LEAST) -> DataFrame:
+def nodes(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """(doc_id, text without null ids; whether doc_ids repeat). Repeated ones give way to a hash of doc_id and text, so that every id stands on one text."""
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
+    if plain.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        return plain, False
+    return stored(plain.select(node(True).alias("doc_id"), "text").dropDuplicates(["doc_id"])), True
+
+
+def node(repeated: bool, text_hash: Column | None = None) -> Column:
+    """The id of `nodes`; text_hash: xxhash64 of the text, null as empty."""
+    h = F.xxhash64(F.coalesce("text", F.lit(""))) if text_hash is None else text_hash
+    return F.xxhash64("doc_id", h) if repeated else F.col("doc_id")
+
+
+def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, coordinates: int = COORDINATES, least: int = LEAST, alike: int = ALIKE) -> DataFrame:
     """doc_id, n_shingles, component_id (the least doc_id reachable over links), kept; a row for each row of docs."""
-    found = stored(sets_of(docs, words, coordinates))
     own = ["h1", "h2", "n_shingles"]
-    classes = stored(found.filter("n_shingles > 0 and doc_id is not null").groupBy(*own).agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature")))
-    # A doc_id may stand on several rows; its classes are then told apart by their place below.
-    texts = _texts(docs).filter("doc_id is not null")
-    state = links_between(classes, texts, words, percent, least)
-    placed = classes.join(state, classes["doc_id"] == state["u"], "left").select(*own, F.coalesce("v", classes["doc_id"]).alias("component"))
+    with scoped(docs.sparkSession):
+        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        texts, repeated = nodes(rows)
+        found = stored(sets_of(rows, words, coordinates), keep=True)
+        sets = found if not repeated else stored(sets_of(texts, words, coordinates))
+        classes = stored(sets.filter("n_shingles > 0 and doc_id is not null").groupBy(*own).agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature")))
+        state = link(stored(postings_of(classes, least)), classes.select("doc_id", "n_shingles", "signature"), texts, words, percent, least, alike)
+        placed = classes.join(state, classes["doc_id"] == state["u"], "left").select(*own, F.coalesce("v", classes["doc_id"]).alias("component"))
+        if repeated:  # from nodes back to the least doc_id
+            ids = found.filter("n_shingles > 0 and doc_id is not null").join(placed, own).groupBy("component").agg(F.min("doc_id").alias("least_id"))
+            placed = placed.join(ids, "component").select(*own, F.col("least_id").alias("component"))
+        placed = stored(placed, keep=True)
     joined = found.drop("signature").join(placed, own, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

@@ -102,3 +102,36 @@ def test_fingerprints_of_odd_tables(spark):
     assert one.near_next == 1 and one.edited_sha256 == hashlib.sha256(b"a b a b"[:4] + b"a b").hexdigest()
     rows = [(None, None), (5, "same words here"), (5, "same words here"), (6, "")]
     assert len(fingerprints.neighbours(spark.createDataFrame(rows, schema)).collect()) == 4
+
+
+@pytest.mark.parametrize(("name", "value"), [("WIDE", 0), ("GROUP", 2), ("SENT_IDS", 0), ("ALIKE", 99)])
+def test_bounds_change_no_link(spark, monkeypatch, name, value):
+    """Wide postings, split hubs, shuffled ids and classes without hubs give the same groups."""
+    monkeypatch.setattr(near_dedup, name, value)
+    texts = corpus(11, 120)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want, _ = groups(texts, 2)
+    got = {r.doc_id: r.component_id for r in near_dedup.near_groups(df, words=2, **({"alike": value} if name == "ALIKE" else {})).collect()}
+    assert got == dict(enumerate(want))
+
+
+def test_repeated_ids_are_nodes_of_their_own(spark):
+    texts = corpus(13, 80)
+    ids = [i // 2 for i in range(len(texts))]
+    df = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string")
+    want, sizes = groups(texts, 2)
+    least = {}
+    for i, g in zip(ids, want, strict=True):
+        least[g] = min(least.get(g, i), i)
+    # equal texts without words are alone, each under its own number
+    expected = sorted((i, n, least[g] if n else i) for i, g, n in zip(ids, want, sizes, strict=True))
+    got = near_dedup.near_groups(df, words=2).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == expected
+    assert all(r.kept == (r.component_id == r.doc_id) for r in got)
+    prints = fingerprints.neighbours(df)
+    classes = fingerprints.near_classes(prints, df).collect()
+    want5, sizes5 = groups(texts, 5)
+    least = {}
+    for i, g in zip(ids, want5, strict=True):
+        least[g] = min(least.get(g, i), i)
+    assert sorted((r.doc_id, r.class_id) for r in classes) == sorted((i, least[g] if n else i) for i, g, n in zip(ids, want5, sizes5, strict=True))
