@@ -1,19 +1,25 @@
 """Media columns: local image descriptors find cropped or edited copies.
 
-An image column holds portable grey or pixel maps (P5, P6). Each image is read at three scales; corners
-are local maxima of the structure tensor's response, each turned to the direction of its patch's
-intensity centroid and described by 256 binary tests of the smoothed patch. Chosen bits of a
-descriptor are its key in each of twelve Hamming tables. An image's postings are the least hashes among all
-its keys, so copies keep the same ones whatever else differs, and an image posts a bounded number of rows.
-Query and table images that meet under a key are compared in full: descriptors are matched by Hamming
-distance and the matches must agree on one rotation, scale and shift.
-
-Null or unreadable images have no corners and match nothing; images without texture likewise. Ids that
-are null are not searched. Repeated rows give repeated results; other columns are ignored.
+An image column holds portable grey or pixel maps (P5, P6). Each image is read at scales half an octave
+apart; corners are local maxima of the structure tensor's response, placed between pixels, each turned to
+the direction of its patch's intensity centroid and described by 256 binary tests of the smoothed patch at exact places.
+Chosen bits of a descriptor are its key in each of three Hamming tables. Images post all their keys; a
+query probes with those of twelve scales an octave, twice enlarged to a quarter, so that one of them lies close to a scale of its source.
+Query and image meet if keys agree at two places of the image at least. They are then compared in full: descriptors
+are matched by Hamming distance and the matches must agree on one rotation, scale and shift.
+
+Equal pictures are one class, posted once. Images that share the least of their keys are bundled
+under one of them and post each key once, so that a group of near copies makes no more rows than one image;
+a query that meets a bundle is compared with all of it.
+
+Descriptors that differ from a plain ramp in few tests stand for edges and shading that many pictures have; they
+have no keys but count in comparisons. Null or unreadable images have no corners and match nothing; images without texture likewise.
+Rows whose id is null are left out. Repeated rows are in one class; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -23,18 +29,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquetry.llm.common import slices, stored
+from marquetry.llm.common import scoped, shuffle_partitions, slices, stored
 from marquetry.llm.shingles import mix
 
-LEVELS, STEP = 3, 2**0.5
-RADIUS, BINS, BITS = 9, 32, 256
-TABLES, KEY_BITS, POSTINGS = 12, 64, 32
-#: A patch that differs from a plain ramp in fewer tests is too common to be posted; it still counts in comparisons.
-LEAST_DETAIL = 60
+#: Levels in an octave of images and of queries; a level's shorter side is more than LEAST_SIDE; queries are enlarged up to so many octaves.
+OCTAVE, QUERY_OCTAVE, LEAST_SIDE, ENLARGED = 2, 12, 24, 1
+RADIUS, BITS = 9, 256
+TABLES, KEY_BITS = 3, 96
+#: A patch that differs from a plain ramp in fewer tests has no key.
+LEAST_DETAIL = 72
+#: Places of this many pixels count as one, when shared keys are counted and when matches agree.
+PLACE = 4
+#: An image is bundled under a head with which it shares SHARED of its SKETCH least keys.
+SKETCH, SHARED = 8, 3
 #: A match is this close at most; so many must agree, within so many pixels, for a copy.
-NEAR_BITS, INLIERS, PIXELS = 48, 10, 2.5
+NEAR_BITS, INLIERS, PIXELS = 24, 8, 2.5
+#: Rows of a side that is sent to all tasks at most (64 MB); a larger one is shuffled.
+SENT_ROWS = 2_000_000
+#: So many images meet one copy of a query's descriptors.
+GROUP = 64
 KEYPOINT = np.dtype([("x", "<f4"), ("y", "<f4"), ("scale", "<f4"), ("angle", "<f4"), ("bits", "<u8", BITS // 64)])
-DESCRIBED = "image_id long, keypoints binary, keys array<long>"
+DESCRIBED = "image_id long, sha binary, keypoints binary, keys array<long>, places array<int>, sketch array<long>"
 FOUND = "query_id long, image_id long, inliers long, matches long, scale double, angle double"
 
 
@@ -83,24 +98,27 @@ def _blur(stack: np.ndarray, times: int = 1) -> np.ndarray:
 
 @lru_cache(1)
 def _spots() -> np.ndarray:
-    return np.clip(np.random.default_rng(17).normal(0, RADIUS / 2, (2 * BITS, 2)), -RADIUS / 1.5, RADIUS / 1.5)
+    return np.clip(np.random.default_rng(17).normal(0, RADIUS / 2, (2 * BITS, 2)), -RADIUS / 1.5, RADIUS / 1.5).astype(np.float32)
 
 
 @lru_cache(1)
-def _pattern() -> tuple[np.ndarray, np.ndarray]:
-    """Places of the tests for each direction (bins, 2 * BITS, 2), and the places of the centroid's disc."""
-    spots = _spots()
-    turns = 2 * np.pi * np.arange(BINS) / BINS
-    c, s = np.cos(turns)[:, None], np.sin(turns)[:, None]
-    turned = np.stack([c * spots[:, 0] - s * spots[:, 1], s * spots[:, 0] + c * spots[:, 1]], axis=2)
+def _disc() -> np.ndarray:
     y, x = np.mgrid[-RADIUS : RADIUS + 1, -RADIUS : RADIUS + 1]
-    disc = np.stack([x, y], axis=2)[x * x + y * y <= RADIUS * RADIUS]
-    return np.rint(turned).astype(int), disc
+    return np.stack([x, y], axis=2)[x * x + y * y <= RADIUS * RADIUS].astype(np.float32)
 
 
-def _level(stack: np.ndarray, scale: float) -> tuple[np.ndarray, np.ndarray]:
-    """(image numbers, keypoints) of one scale of equally large images."""
-    smooth = _blur(stack, 2)
+def _sampled(wide: np.ndarray, image: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Bilinear values of images at places between pixels."""
+    left, top = np.floor(x).astype(np.int32), np.floor(y).astype(np.int32)
+    across, down = x - left, y - top
+    flat, row = wide.reshape(-1), wide.shape[2]
+    at = (image[:, None] * wide.shape[1] + top) * row + left
+    upper = flat[at] * (1 - across) + flat[at + 1] * across
+    return upper * (1 - down) + (flat[at + row] * (1 - across) + flat[at + row + 1] * across) * down
+
+
+def _corners(smooth: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Image numbers and places (x, y) of the corners, between pixels by a parabola through the response."""
     gy, gx = np.gradient(smooth, axis=(1, 2))
     a, b, c = (_blur(p, 3) for p in (gx * gx, gy * gy, gx * gy))
     response = a * b - c * c - 0.05 * (a + b) ** 2
@@ -109,32 +127,51 @@ def _level(stack: np.ndarray, scale: float) -> tuple[np.ndarray, np.ndarray]:
     top = response > np.maximum(0.05 * response.max(axis=(1, 2), keepdims=True), 1e-3)
     for dy, dx in ((0, 1), (1, 0), (1, 1), (1, -1)):
         top &= (response > inner[:, 1 + dy : 1 + dy + h, 1 + dx : 1 + dx + w]) & (response >= inner[:, 1 - dy : 1 - dy + h, 1 - dx : 1 - dx + w])
-    top[:, : RADIUS // 2] = top[:, h - RADIUS // 2 :] = False
-    top[:, :, : RADIUS // 2] = top[:, :, w - RADIUS // 2 :] = False
+    margin = RADIUS // 2
+    top[:, :margin] = top[:, h - margin :] = False
+    top[:, :, :margin] = top[:, :, w - margin :] = False
     image, y, x = np.nonzero(top)
-    tests, disc = _pattern()
-    wide = np.pad(smooth, ((0, 0), (RADIUS, RADIUS), (RADIUS, RADIUS)), mode="reflect" if min(h, w) > RADIUS else "edge")
-    flat, row = wide.reshape(-1), wide.shape[2]
-    centre = (image * wide.shape[1] + y + RADIUS) * row + x + RADIUS
-    patch = flat[centre[:, None] + disc[:, 1] * row + disc[:, 0]]
-    angle = np.arctan2(patch @ disc[:, 1].astype(np.float32), patch @ disc[:, 0].astype(np.float32))
-    turn = np.rint(angle * BINS / (2 * np.pi)).astype(int) % BINS
-    values = flat[centre[:, None] + (tests[:, :, 1] * row + tests[:, :, 0])[turn]]
+    here = response[image, y, x]
+
+    def between(before: np.ndarray, after: np.ndarray) -> np.ndarray:
+        return np.clip(0.5 * (before - after) / np.minimum(before - 2 * here + after, -1e-9), -0.5, 0.5)
+
+    return image, x + between(response[image, y, x - 1], response[image, y, x + 1]), y + between(response[image, y - 1, x], response[image, y + 1, x])
+
+
+def _level(stack: np.ndarray, scale: float) -> tuple[np.ndarray, np.ndarray]:
+    """(image numbers, keypoints) of one scale of equally large images."""
+    smooth = _blur(stack, 2)
+    image, x, y = _corners(smooth)
     out = np.zeros(len(image), KEYPOINT)
     # Places are those of the full-size image.
-    out["x"], out["y"], out["scale"], out["angle"] = (x + 0.5) * scale - 0.5, (y + 0.5) * scale - 0.5, scale, angle
-    out["bits"] = np.packbits(values[:, :BITS] < values[:, BITS:], axis=1).view("<u8")
+    out["x"], out["y"], out["scale"] = (x + 0.5) * scale - 0.5, (y + 0.5) * scale - 0.5, scale
+    pad = RADIUS + 3
+    wide = np.pad(smooth, ((0, 0), (pad, pad), (pad, pad)), mode="reflect").astype(np.float32)
+    disc, spots = _disc(), _spots()
+    for at in range(0, len(image), 1000):  # bounds the memory of large images
+        part = slice(at, at + 1000)
+        i, px, py = image[part], (x[part] + pad).astype(np.float32)[:, None], (y[part] + pad).astype(np.float32)[:, None]
+        patch = _sampled(wide, i, px + disc[:, 0], py + disc[:, 1])
+        angle = np.arctan2(patch @ disc[:, 1], patch @ disc[:, 0])
+        c, s = np.cos(angle)[:, None], np.sin(angle)[:, None]
+        values = _sampled(wide, i, px + c * spots[:, 0] - s * spots[:, 1], py + s * spots[:, 0] + c * spots[:, 1])
+        out["angle"][part] = angle
+        out["bits"][part] = np.packbits(values[:, :BITS] < values[:, BITS:], axis=1).view("<u8")
     return image, out
 
 
-def keypoints_of(stack: np.ndarray) -> list[np.ndarray]:
-    """Keypoints of each of equally large images."""
-    found = []
-    for k in range(LEVELS):
-        scale = STEP**k
+def keypoints_of(stack: np.ndarray, octave: int = OCTAVE, enlarged: int = 0) -> list[np.ndarray]:
+    """Keypoints of each of equally large images, at so many scales an octave, from so many octaves above full size on."""
+    found, k = [], -octave * enlarged
+    while True:
+        scale = 2 ** (k / octave)
         height, width = round(stack.shape[1] / scale), round(stack.shape[2] / scale)
-        if min(height, width) > RADIUS:
-            found.append(_level(stack if k == 0 else resize(_blur(stack, 2 * k), height, width), scale))
+        if min(height, width) <= LEAST_SIDE:
+            break
+        softened = _blur(stack, round(max(4 * np.log2(scale), scale * scale / 2))) if scale > 1 else stack
+        found.append(_level(stack if k == 0 else resize(softened, height, width), scale))
+        k += 1
     images = np.concatenate([i for i, _ in found] or [np.zeros(0, int)])
     points = np.concatenate([p for _, p in found] or [np.zeros(0, KEYPOINT)])
     order = np.argsort(images, kind="stable")
@@ -147,49 +184,84 @@ def _tables() -> np.ndarray:
     return np.stack([rng.choice(BITS, KEY_BITS, replace=False) for _ in range(TABLES)])
 
 
-def keys_of(points: np.ndarray) -> np.ndarray:
-    """The postings of an image: the least hashes among its detailed descriptors' keys in all tables."""
+def keys_of(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of the detailed descriptors in all tables, and the place of each one's first descriptor."""
     ramp = np.packbits(_spots()[:BITS, 0] < _spots()[BITS:, 0]).view("<u8")
     points = points[np.bitwise_count(points["bits"] ^ ramp).sum(axis=1) >= LEAST_DETAIL]
     bits = np.unpackbits(np.ascontiguousarray(points["bits"]).view(np.uint8).reshape(len(points), BITS // 8), axis=1)
-    values = np.packbits(bits[:, _tables()], axis=2).reshape(len(points), TABLES, KEY_BITS // 8).view("<u8")[:, :, 0]
-    return np.unique(mix(mix(values) + np.arange(TABLES, dtype=np.uint64)).ravel())[:POSTINGS].view(np.int64)
+    words = np.packbits(bits[:, _tables()], axis=2).reshape(len(points), TABLES, KEY_BITS // 8).view("<u4").astype(np.uint64)
+    keys = mix(mix(words[..., 0] | words[..., 1] << np.uint64(32)) ^ words[..., 2]) + np.arange(TABLES, dtype=np.uint64)
+    places = (points["y"] // PLACE).astype(np.int32) * 65536 + (points["x"] // PLACE).astype(np.int32)
+    values, first = np.unique(keys, return_index=True)
+    return values.view(np.int64), np.repeat(places, TABLES)[first]
 
 
-def describe(images: DataFrame) -> DataFrame:
-    """images (image_id, media) -> image_id, keypoints (packed KEYPOINT), keys."""
+def describe(images: DataFrame, queries: bool = False) -> DataFrame:
+    """images (image_id, media) -> the columns of DESCRIBED; queries at more scales."""
+    octave, enlarged = (QUERY_OCTAVE, ENLARGED) if queries else (OCTAVE, 0)
+    # Comparisons take every third scale of a query.
+    kept = np.array([2 ** (k / octave) for k in range(-octave * enlarged, 16 * octave, 3 if queries else 1)], np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "media", 1_000_000):
-            grey = [read_image(x) for x in batch.column("media").to_pylist()]
+        for batch in slices(batches, "media", 30_000 if queries else 300_000):
+            media = batch.column("media").to_pylist()
+            grey = [read_image(x) for x in media]
             points: list = [np.zeros(0, KEYPOINT)] * len(grey)
             for shape in {g.shape for g in grey if g is not None}:
                 same = [k for k, g in enumerate(grey) if g is not None and g.shape == shape]
-                for k, p in zip(same, keypoints_of(np.stack([grey[k] for k in same])), strict=True):
+                for k, p in zip(same, keypoints_of(np.stack([grey[k] for k in same]), octave, enlarged), strict=True):
                     points[k] = p
-            keys = pa.array([keys_of(p) if len(p) else np.zeros(0, np.int64) for p in points], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("image_id"), pa.array([p.tobytes() for p in points], pa.binary()), keys], names=["image_id", "keypoints", "keys"])
+            keys = [keys_of(p) for p in points]
+            columns = [
+                pa.array([hashlib.sha256(m or b"").digest() for m in media], pa.binary()),
+                pa.array([p[np.isin(p["scale"], kept)].tobytes() for p in points], pa.binary()),
+                pa.array([k for k, _ in keys], pa.list_(pa.int64())),
+                pa.array([p for _, p in keys], pa.list_(pa.int32())),
+                pa.array([np.sort(mix(k.view(np.uint64)))[:SKETCH].view(np.int64) for k, _ in keys], pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column("image_id"), *columns], names=[c.split()[0] for c in DESCRIBED.split(", ")])
 
-    return images.select(F.col("image_id").cast("long").alias("image_id"), F.col("media").cast("binary").alias("media")).mapInArrow(run, DESCRIBED)
+    rows = images.select(F.col("image_id").cast("long").alias("image_id"), F.col("media").cast("binary").alias("media"))
+    return rows.filter("image_id is not null").mapInArrow(run, DESCRIBED)
+
+
+#: Cells of a comparison's matrix that are held at once.
+CELLS = 1_000_000
+
+
+def _nearest(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each descriptor the nearest one of the other side, and how many bits differ."""
+    best, far = np.zeros(len(left), np.int64), np.zeros(len(left), np.int64)
+    step = max(1, CELLS // len(right))
+    for at in range(0, len(left), step):
+        bits = sum(np.bitwise_count(left["bits"][at : at + step, None, k] ^ right["bits"][None, :, k]).astype(np.int16) for k in range(BITS // 64))
+        best[at : at + step] = bits.argmin(axis=1)
+        far[at : at + step] = bits.min(axis=1)
+    return best, far
 
 
 def agree(left: np.ndarray, right: np.ndarray) -> tuple[int, int, float, float]:
     """(inliers, matches, scale, angle) of the best similarity that takes left's keypoints to right's."""
     if not len(left) or not len(right):
         return 0, 0, 1.0, 0.0
-    far = np.bitwise_count(left["bits"][:, None] ^ right["bits"][None]).sum(axis=2, dtype=np.int64)
-    best = far.argmin(axis=1)
-    good = np.flatnonzero(far[np.arange(len(left)), best] <= NEAR_BITS)
+    best, far = _nearest(left, right)
+    good = np.flatnonzero(far <= NEAR_BITS)
     if not len(good):
         return 0, 0, 1.0, 0.0
     a, b = left[good], right[best[good]]
     p, q = a["x"] + 1j * a["y"], b["x"] + 1j * b["y"]
-    guess = b["scale"] / a["scale"] * np.exp(1j * (b["angle"] - a["angle"]))
-    close = lambda f, s: np.abs(f * p + s - q) <= PIXELS * np.maximum(a["scale"], b["scale"])
+    factors = b["scale"] / a["scale"] * np.exp(1j * (b["angle"] - a["angle"]))
+    within = PIXELS * np.maximum(a["scale"], b["scale"])
     # Each match proposes a transform; the one that most others fit is then fitted to all of those.
-    fits = np.abs(guess[:, None] * (p[None] - p[:, None]) + q[:, None] - q[None]) <= 2 * PIXELS * np.maximum(a["scale"], b["scale"])[None]
-    chosen = fits[fits.sum(axis=1).argmax()]
-    factor, shift = guess[fits.sum(axis=1).argmax()], 0j
+    fitting, step = np.zeros(len(good), np.int64), max(1, CELLS // len(good))
+
+    def fits(of: slice) -> np.ndarray:
+        return np.abs(factors[of, None] * (p[None] - p[of, None]) + q[of, None] - q[None]) <= 2 * within[None]
+
+    for at in range(0, len(good), step):
+        fitting[at : at + step] = fits(slice(at, at + step)).sum(axis=1)
+    top = int(fitting.argmax())
+    chosen, factor = fits(slice(top, top + 1))[0], factors[top]
     for _ in range(3):
         if chosen.sum() < 2:
             break
@@ -198,35 +270,94 @@ def agree(left: np.ndarray, right: np.ndarray) -> tuple[int, int, float, float]:
             break
         factor = (np.conj(x) * y).sum() / (np.abs(x) ** 2).sum()
         shift = q[chosen].mean() - factor * p[chosen].mean()
-        chosen = close(factor, shift)
+        chosen = np.abs(factor * p + shift - q) <= within
     # Several scales may describe one place: places count once.
-    places = {(round(float(z.real) / 2), round(float(z.imag) / 2)) for z in q[chosen]}
+    places = {(round(float(z.real) / PLACE), round(float(z.imag) / PLACE)) for z in q[chosen]}
     return len(places), len(good), float(abs(factor)), float(np.angle(factor))
 
 
-def search(queries: DataFrame, images: DataFrame, least: int = INLIERS) -> DataFrame:
-    """queries, images (image_id, media) -> the columns of FOUND, for every pair with `least` agreeing places."""
-    asked, held = stored(describe(queries)), stored(describe(images))
-    left = asked.select(F.col("image_id").alias("query_id"), F.explode("keys").alias("key"))
-    right = held.select("image_id", F.explode("keys").alias("key"))
-    pairs = left.join(right, "key").groupBy("query_id", "image_id").agg(F.count("*").alias("shared")).drop("shared")
-    full = pairs.join(asked.select(F.col("image_id").alias("query_id"), F.col("keypoints").alias("a")), "query_id").join(held.select("image_id", F.col("keypoints").alias("b")), "image_id")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [agree(np.frombuffer(a, KEYPOINT), np.frombuffer(b, KEYPOINT)) for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)]
-            keep = [k for k, r in enumerate(rows) if r[0] >= least]
-            ids = batch.select(["query_id", "image_id"]).take(pa.array(keep, pa.int64()))
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
-            yield pa.RecordBatch.from_arrays([*ids.columns, *(pa.array([rows[k][j] for k in keep], t) for j, t in enumerate(kinds))], names=[c.split()[0] for c in FOUND.split(", ")])
-
-    return full.select("query_id", "image_id", "a", "b").mapInArrow(run, FOUND)
+def _few(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= SENT_ROWS else df
+
+
+def _classes(described: DataFrame) -> DataFrame:
+    """image_id, class_id: the least id of equal pictures."""
+    ids = described.select("image_id", "sha")
+    return ids.join(ids.groupBy("sha").agg(F.min("image_id").alias("class_id")), "sha").select("image_id", "class_id").distinct()
+
+
+def _heads(described: DataFrame, classes: DataFrame) -> DataFrame:
+    """One row for each class."""
+    others = stored(classes.filter("image_id <> class_id").select("image_id").distinct())
+    return described.join(_few(others), "image_id", "left_anti").dropDuplicates(["image_id"]) if not others.isEmpty() else described
+
+
+def _bundles(held: DataFrame) -> DataFrame:
+    """image_id, bundle, of the images that are bundled with others: each goes to the head of most of its least keys."""
+    sketched = held.select("image_id", F.explode("sketch").alias("key"))
+    shared = sketched.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
+    met = stored(sketched.join(shared, "key"))
+    ranked = met.join(met.groupBy("image_id").agg(F.sum("m").alias("weight")), "image_id")
+    heads = ranked.groupBy("key").agg(F.min(F.struct((-F.col("weight")).alias("w"), F.col("image_id").alias("head"))).alias("h"))
+    votes = met.join(heads, "key").groupBy("image_id", F.col("h.head").alias("head")).agg(F.count("*").alias("votes")).filter(F.col("votes") >= SHARED)
+    chosen = votes.groupBy("image_id").agg(F.max(F.struct("votes", (-F.col("head")).alias("low"))).alias("v")).select("image_id", (-F.col("v.low")).alias("bundle"))
+    chosen = stored(chosen)
+    return chosen.join(chosen.groupBy("bundle").agg(F.count("*").alias("m")).filter("m > 1").select("bundle"), "bundle").select("image_id", "bundle")
+
+
+def _met(asked: DataFrame, held: DataFrame) -> DataFrame:
+    """(a: a query, b: an image) that agree on keys at two places of the image, or of its bundle."""
+    probes = stored(asked.select(F.col("image_id").alias("a"), F.explode("keys").alias("key")))
+    bundles = stored(_bundles(held))
+    posted = held.select("image_id", F.explode(F.arrays_zip("keys", "places")).alias("p")).select("image_id", F.col("p.keys").alias("key"), F.col("p.places").alias("place"))
+    alone = posted.join(_few(bundles.select("image_id")), "image_id", "left_anti").select("key", F.col("image_id").alias("b"), F.col("place").alias("low"), F.col("place").alias("high"), F.lit(False).alias("bundled"))
+    together = posted.join(_few(bundles), "image_id").groupBy("key", F.col("bundle").alias("b")).agg(F.min("place").alias("low"), F.max("place").alias("high")).withColumn("bundled", F.lit(True))
+    sent = _few(probes)
+
+    def meet(rows: DataFrame) -> DataFrame:
+        return rows.join(sent, "key").groupBy("a", "b").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high").select("a", "b")
+
+    many = meet(together).join(bundles, F.col("b") == F.col("bundle")).select("a", F.col("image_id").alias("b"))
+    return meet(alone).union(many)
+
+
+def search(queries: DataFrame, images: DataFrame, least: int = INLIERS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """queries, images (image_id, media) -> the columns of FOUND for every pair of classes with `least` agreeing places, and image_id, class_id of queries and of images."""
+    spark = images.sparkSession
+    with scoped(spark):
+        every_query, every_image = stored(describe(queries, True)), stored(describe(images))
+        query_classes, image_classes = stored(_classes(every_query), keep=True), stored(_classes(every_image), keep=True)
+        asked, held = _heads(every_query, query_classes), _heads(every_image, image_classes)
+        pairs = stored(_met(asked, held))
+        counted = stored(pairs.groupBy("a").agg(F.count("*").alias("m")))
+        right = pairs.join(_few(counted), "a").select(F.col("a").alias("query_id"), F.expr(f"pmod(xxhash64(b), ceil(m / {GROUP}))").alias("salt"), F.col("b").alias("image_id"))
+        left = counted.select(F.col("a").alias("query_id"), F.expr(f"explode(sequence(0L, cast(ceil(m / {GROUP}) as bigint) - 1))").alias("salt"))
+        left = asked.select(F.col("image_id").alias("query_id"), "keypoints").join(_few(stored(left)), "query_id").select("query_id", "salt", F.lit(0).alias("kind"), F.col("query_id").alias("image_id"), "keypoints")
+        right = held.select("image_id", "keypoints").join(_few(stored(right)), "image_id").select("query_id", "salt", F.lit(1).alias("kind"), "image_id", "keypoints")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            query, own = None, None
+            for batch in batches:
+                out = []
+                for a, kind, b, points in zip(*(batch.column(c).to_pylist() for c in ("query_id", "kind", "image_id", "keypoints")), strict=True):
+                    points = np.frombuffer(points, KEYPOINT)
+                    if kind == 0:
+                        query, own = a, points
+                    elif a == query and (told := agree(own, points))[0] >= least:
+                        out.append((a, b, *told))
+                kinds = (pa.int64(),) * 4 + (pa.float64(),) * 2
+                yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], t) for j, t in enumerate(kinds)], names=[c.split()[0] for c in FOUND.split(", ")])
+
+        dealt = left.union(right).repartition(shuffle_partitions(spark), "query_id", "salt").sortWithinPartitions("query_id", "salt", "kind")
+        found = stored(dealt.mapInArrow(run, FOUND), keep=True)
+    return found, query_classes, image_classes
 
 
 # The tables hold no pictures: these make them from the vectors of `embeddings`.
 
 SIDE, GRID = 96, 18
-EDITS = ["crop", "brighten", "shrink", "crop and fade"]
+#: The edits of the queries: parts cut off, light changed, resized by any factor, turned, and noise.
+EDITS = ["crop", "brighten", "shrink 17/24", "crop and fade", "shrink 0.9", "shrink 0.75", "shrink 0.6", "shrink 0.4", "enlarge 1.5", "turn 10", "turn 30", "turn 90", "small crop", "noise"]
 
 
 @lru_cache(4)
@@ -243,14 +374,33 @@ def picture(vector: list[float] | None) -> np.ndarray | None:
     return np.clip(resize(points.reshape(1, GRID, GRID), SIDE, SIDE)[0] * 55 + 128, 0, 255)
 
 
-def edited(grey: np.ndarray, kind: int) -> np.ndarray:
+def turned(grey: np.ndarray, degrees: float, cut: int) -> np.ndarray:
+    """Turned about its centre; `cut` pixels are cut off on each side."""
     h, w = grey.shape
-    if kind == 1:
-        return np.clip(grey * 1.1 + 12, 0, 255)
-    if kind == 2:
-        return resize(grey[None], h * 17 // 24, w * 17 // 24)[0]
+    y, x = (p - c for p, c in zip(np.mgrid[cut : h - cut, cut : w - cut], ((h - 1) / 2, (w - 1) / 2), strict=True))
+    c, s = np.cos(np.deg2rad(degrees)), np.sin(np.deg2rad(degrees))
+    x, y = np.clip(c * x + s * y + (w - 1) / 2, 0, w - 1.001), np.clip(c * y - s * x + (h - 1) / 2, 0, h - 1.001)
+    shape = x.shape
+    return _sampled(grey[None].astype(np.float32), np.zeros(1, int), x.reshape(1, -1), y.reshape(1, -1)).reshape(shape)
+
+
+def edited(grey: np.ndarray, kind: str, seed: int = 0) -> np.ndarray:
+    h, w = grey.shape
+    name, *value = kind.rsplit(" ", 1)
+    if name in ("shrink", "enlarge"):
+        top, _, bottom = value[0].partition("/")
+        factor = float(top) / float(bottom or 1)
+        return resize(grey[None], round(h * factor), round(w * factor))[0]
+    if name == "turn":
+        return np.rot90(grey) if value == ["90"] else turned(grey, float(value[0]), h // 9 if value == ["10"] else h * 3 // 16)
+    if kind == "noise":
+        return grey + np.random.default_rng(seed).normal(0, 6, grey.shape)
+    if kind == "brighten":
+        return grey * 1.1 + 12
+    if kind == "small crop":
+        return grey[h // 3 : h // 3 + h // 2, w // 5 : w // 5 + w // 2]
     cut = grey[h // 6 : h - h // 8, w // 8 : w - w // 6]
-    return cut if kind == 0 else cut * 0.8 + 20
+    return cut if kind == "crop" else cut * 0.8 + 20
 
 
 def pictures(vectors: DataFrame, edit: bool = False) -> DataFrame:
@@ -262,7 +412,7 @@ def pictures(vectors: DataFrame, edit: bool = False) -> DataFrame:
                 part = batch.slice(at, 500)
                 grey = [picture(v) for v in part.column("embedding").to_pylist()]
                 if edit:
-                    grey = [g if g is None else edited(g, i // 50 % len(EDITS)) for g, i in zip(grey, part.column("vec_id").to_pylist(), strict=True)]
+                    grey = [g if g is None else edited(g, EDITS[i // 50 % len(EDITS)], i & 0xFFFFFFFF) for g, i in zip(grey, part.column("vec_id").to_pylist(), strict=True)]
                 media = [None if g is None else write_image(g) for g in grey]
                 yield pa.RecordBatch.from_arrays([part.column("vec_id"), pa.array(media, pa.binary())], names=["image_id", "media"])
 
@@ -270,17 +420,16 @@ def pictures(vectors: DataFrame, edit: bool = False) -> DataFrame:
     return rows.mapInArrow(run, "image_id long, media binary")
 
 
-#: Matches are listed by ranges of so many ids, which bounds a list's length.
-LISTED = 1_000_000
-
-
 def copies(vectors: DataFrame) -> DataFrame:
     """Edited pictures of the rows whose vec_id is divisible by 50, searched among the pictures of all rows.
 
-    query_id, edit, part (image_id div LISTED), image_ids (ascending), inliers (in that order), n_matches.
+    kind, id, class_id, edit, inliers, scale, angle. `image` rows give every vec_id's class, the least vec_id of equal
+    pictures, and `query` rows that of every query; `match` rows are pairs of a query class (id) and a class of images that it matches.
     """
-    found = search(pictures(vectors.filter("vec_id % 50 = 0"), True), pictures(vectors))
-    edit = F.element_at(F.array(*map(F.lit, EDITS)), (F.floor(F.col("query_id") / 50) % len(EDITS) + 1).cast("int"))
-    pairs = F.sort_array(F.collect_list(F.struct("image_id", "inliers")))
-    listed = found.groupBy("query_id", F.expr(f"image_id div {LISTED}").alias("part")).agg(pairs.alias("m"))
-    return listed.select("query_id", edit.alias("edit"), "part", F.col("m.image_id").alias("image_ids"), F.col("m.inliers").alias("inliers"), F.size("m").cast("long").alias("n_matches"))
+    found, query_classes, image_classes = search(pictures(vectors.filter("vec_id % 50 = 0"), True), pictures(vectors))
+    edit = F.element_at(F.array(*map(F.lit, EDITS)), (F.floor(F.col("id") / 50) % len(EDITS) + 1).cast("int"))
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("inliers", "long"), ("scale", "double"), ("angle", "double"))]
+    members = lambda df, kind: df.select(F.lit(kind).alias("kind"), F.col("image_id").alias("id"), "class_id", *none)
+    matches = found.select(F.lit("match").alias("kind"), F.col("query_id").alias("id"), F.col("image_id").alias("class_id"), "inliers", "scale", "angle")
+    rows = members(image_classes, "image").union(members(query_classes, "query")).union(matches)
+    return rows.withColumn("edit", F.when(F.col("kind") != "image", edit)).select("kind", "id", "class_id", "edit", "inliers", "scale", "angle")
