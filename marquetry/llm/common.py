@@ -16,7 +16,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text bytes that a Python worker works on at once.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

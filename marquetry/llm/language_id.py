@@ -31,7 +31,7 @@ ORDER = 4
 #: Labelled documents that are learned from, for each language.
 SAMPLE = 600
 NONE = "und"
-SLICE = 4_000_000
+SLICE = 2_000_000
 SPACE = 0x20
 _ASCII = np.array([65 <= b <= 90 or 97 <= b <= 122 for b in range(256)])
 _INSIDE = _ASCII | (np.arange(256) >= 0x80)
