@@ -5,8 +5,9 @@ elements it stands in. Every block becomes a vector of its tag path (hashed elem
 and of its words (hashed), and a bidirectional LSTM in numpy reads the page's blocks as one
 sequence, so that each is judged by all of its page. The text is that of the blocks kept, in order.
 
-The labeller is fitted on a bounded sample of pages (SAMPLE, a parameter), whose blocks are labelled by the
-elements and class words they stand in, and on rebuilt pages that put the sample's texts into other layouts.
+The labeller is fitted on a bounded sample of pages (SAMPLE and SAMPLE_CHARS, parameters), whose blocks are labelled by the
+elements and class words they stand in, and on rebuilt pages that put the sample's texts into other layouts, with
+telling names and without.
 
 Null and empty pages give an empty text; unfinished tags and comments at a page's end are markup;
 repeated rows give repeated results; other columns are ignored.
@@ -19,7 +20,6 @@ import random
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 from marquetry.llm.common import slices
 from marquetry.llm.shingles import word_hashes
 
-#: Pages that the labeller is fitted on.
-SAMPLE = 240
-PATH_SIZE, WORD_SIZE, HIDDEN = 48, 24, 20
+#: Pages that the labeller is fitted on, and the length in code points that each has at most.
+SAMPLE, SAMPLE_CHARS = 240, 200_000
+PATH_SIZE, WORD_SIZE, HIDDEN = 96, 24, 20
 #: Padded blocks that are judged at once.
 BATCH_BLOCKS = 20_000
 SLICE = 4_000_000
@@ -51,25 +51,105 @@ _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
-Block = tuple[tuple[tuple[str, ...], ...], str, float]
+class Node:
+    """An element of a path from the page's root: equal paths are one node, so that their features are made once and a path takes no space."""
+
+    __slots__ = ("children", "element", "fresh", "hidden", "label", "parent", "vector")
+
+    def __init__(self, parent: Node | None, element: tuple[str, ...], fresh: tuple[str, ...]):
+        """fresh: terms of this element that no element above it has."""
+        self.parent, self.element, self.fresh, self.children = parent, element, fresh, {}
+        self.vector: np.ndarray | None = None
+        self.hidden, self.label = (parent.hidden, parent.label) if parent else (False, 0)
+        if element:
+            tag, words = element[0], set(element[1:])
+            self.hidden |= tag in HIDDEN_TAGS
+            if self.label == 2 or tag in ASIDE_TAGS or ASIDE_WORDS & words:
+                self.label = 2
+            elif tag in MAIN_TAGS or MAIN_WORDS & words:
+                self.label = 1
+
+    def __eq__(self, other: object) -> bool:
+        return self is other or isinstance(other, tuple) and self.path() == other
+
+    __hash__ = object.__hash__
+
+    def path(self) -> tuple[tuple[str, ...], ...]:
+        out, node = [], self
+        while node.parent:
+            out.append(node.element)
+            node = node.parent
+        return tuple(out[::-1])
+
+
+class Paths:
+    """The nodes seen so far, up to a bound, and the elements that are open now."""
+
+    def __init__(self) -> None:
+        self.root, self.size = Node(None, (), ()), 0
+
+    def start(self) -> None:
+        if self.size > 100_000:
+            self.root, self.size = Node(None, (), ()), 0
+        self.stack: list[Node] = [self.root]
+        self.places: dict[str, list[int]] = {}  # of each tag's open elements
+        self.terms: dict[str, int] = {}
+
+    def last(self, tag: str) -> int:
+        """The place of the innermost open element of this name, or 0."""
+        found = self.places.get(tag)
+        return found[-1] if found else 0
+
+    def _terms(self, element: tuple[str, ...]) -> list[str]:
+        terms = [x for x in element if x not in INLINE]
+        if len(self.stack) > 1:
+            terms.append(f"{self.stack[-1].element[0]}>{element[0]}")
+        return terms
+
+    def push(self, element: tuple[str, ...]) -> None:
+        terms = self._terms(element)
+        top = self.stack[-1]
+        node = top.children.get(element)
+        if node is None:
+            node = Node(top, element, tuple(t for t in dict.fromkeys(terms) if not self.terms.get(t)))
+            top.children[element] = node
+            self.size += 1
+        for t in terms:
+            self.terms[t] = self.terms.get(t, 0) + 1
+        self.places.setdefault(element[0], []).append(len(self.stack))
+        self.stack.append(node)
+
+    def cut(self, place: int) -> None:
+        """Close the element at this place and all inside it."""
+        while len(self.stack) > place:
+            element = self.stack.pop().element
+            for t in self._terms(element):
+                self.terms[t] -= 1
+            self.places[element[0]].pop()
+
+
+Block = tuple[Node, str, float]
+_BARRIERS = ("ul", "ol", "table", "dl", "select")
+_ITEMS = set("li p td th tr dt dd option".split())
+_paths = Paths()
 
 
 def blocks_of(page: str) -> list[Block]:
-    """(path of elements, each as its tag and class words; text; share of the text in links) of every leaf block."""
+    """(node of the element it stands in; text; share of the text in links) of every leaf block, in time linear in the page."""
     out: list[Block] = []
-    stack: list[tuple[str, ...]] = []
     parts: list[str] = []
-    path: tuple = ()
-    linked = 0
+    open_ = _paths
+    open_.start()
+    node = open_.root
+    blank, linked, at = True, 0, 0
 
     def flush() -> None:
-        nonlocal parts, linked
-        text = " ".join(html.unescape("".join(parts)).split()) if parts else ""
-        if text:
-            out.append((path, text, min(1.0, linked / len(text))))
-        parts, linked = [], 0
+        nonlocal parts, linked, blank
+        text = " ".join(html.unescape("".join(parts)).split()) if not blank else ""
+        if text and not node.hidden:
+            out.append((node, text, min(1.0, linked / len(text))))
+        parts, linked, blank = [], 0, True
 
-    at = 0
     while at < len(page):
         token = _TOKEN.match(page, at)
         at = token.end()
@@ -77,10 +157,10 @@ def blocks_of(page: str) -> list[Block]:
         if tag is None:
             text = token[0]
             if text[0] != "<" or text == "<" and at < len(page):
-                if not parts or not "".join(parts).strip():
-                    path = tuple(stack)
+                if blank and not text.isspace():
+                    node, blank = open_.stack[-1], False
                 parts.append(text)
-                if any(x[0] == "a" for x in stack):
+                if open_.last("a"):
                     linked += len(text)
             continue
         tag = tag.lower()
@@ -91,9 +171,8 @@ def blocks_of(page: str) -> list[Block]:
         if not inline:
             flush()
         if token[1]:
-            if any(x[0] == tag for x in stack):
-                while stack.pop()[0] != tag:
-                    pass
+            if place := open_.last(tag):
+                open_.cut(place)
             continue
         if tag in VOID:
             continue
@@ -102,44 +181,44 @@ def blocks_of(page: str) -> list[Block]:
             at = end.end() if end else len(page)
             continue
         if not inline:
-            # A block ends an open paragraph; an item or cell ends the one before it.
-            for closing in ("p", tag) if tag in ("li", "p", "td", "th", "tr", "dt", "dd", "option") else ("p",):
-                names = [x[0] for x in stack]
-                if closing in names:
-                    k = len(names) - 1 - names[::-1].index(closing)
-                    if closing == "p" or not {"ul", "ol", "table", "dl", "select"} & set(names[k:]):
-                        del stack[k:]
+            # A block ends an open paragraph; an item or cell ends the one before it in its list or table.
+            if place := open_.last("p"):
+                open_.cut(place)
+            if tag in _ITEMS and (place := open_.last(tag)) and place > max(map(open_.last, _BARRIERS)):
+                open_.cut(place)
         words: list[str] = []
         if token[3] and not token[3].isspace():
             for value in _NAMED.findall(token[3]):
                 words += _SPLIT.split(value.strip("\"'").lower())
-        stack.append((tag, *filter(None, words)))
+        open_.push((tag, *filter(None, words)))
         if token[3].endswith("/") and tag not in INLINE:
-            stack.pop()
+            open_.cut(len(open_.stack) - 1)
     flush()
-    return [b for b in out if not any(x[0] in HIDDEN_TAGS for x in b[0])]
+    return out
 
 
-def taught(path: tuple[tuple[str, ...], ...]) -> bool:
+def taught(node: Node) -> bool:
     """What the elements around a block say: main text unless one of them is an aside; outside all content, too, it is none."""
-    main = False
-    for tag, *words in path:
-        if tag in ASIDE_TAGS or ASIDE_WORDS & set(words):
-            return False
-        main |= tag in MAIN_TAGS or bool(MAIN_WORDS & set(words))
-    return main
-
-
-@lru_cache(100_000)
-def _path_vector(path: tuple[tuple[str, ...], ...]) -> np.ndarray:
-    out = np.zeros(PATH_SIZE, np.float32)
-    terms = [x for element in path for x in element if x not in INLINE]
-    terms += [f"{a[0]}>{b[0]}" for a, b in zip(path, path[1:], strict=False)]
-    for term in set(terms):
-        h = zlib.crc32(term.encode())
-        for k in range(3):
-            out[(h >> (8 * k)) % PATH_SIZE] += 1 if h >> (24 + k) & 1 else -1
-    return out
+    return node.label == 1
+
+
+def _path_vector(node: Node) -> np.ndarray:
+    """Signed hashes of the distinct terms of a path; each node adds its own to those above."""
+    new = []
+    while node.vector is None:
+        new.append(node)
+        if node.parent is None:
+            node.vector = np.zeros(PATH_SIZE, np.float32)
+        else:
+            node = node.parent
+    for below in reversed(new):
+        if below.vector is None:
+            below.vector = below.parent.vector.copy()
+            for term in below.fresh:
+                h = zlib.crc32(term.encode())
+                for k in range(3):
+                    below.vector[(h >> (8 * k)) % PATH_SIZE] += 1 if h >> (24 + k) & 1 else -1
+    return new[0].vector if new else node.vector
 
 
 FEATURES = PATH_SIZE + WORD_SIZE + 4
@@ -151,8 +230,8 @@ def vectors(pages: list[list[Block]]) -> np.ndarray:
     out = np.zeros((len(blocks), FEATURES), np.float32)
     if not blocks:
         return out
-    for k, (path, _, _) in enumerate(blocks):
-        out[k, :PATH_SIZE] = _path_vector(path)
+    for k, (node, _, _) in enumerate(blocks):
+        out[k, :PATH_SIZE] = _path_vector(node)
     hashes, sizes = word_hashes(pa.array([b[1] for b in blocks], pa.large_string()))
     of = np.repeat(np.arange(len(blocks)), sizes)
     sign = np.where((hashes >> np.uint64(40)) & np.uint64(1), 1.0, -1.0)
@@ -301,20 +380,45 @@ def _rebuilt(rng: random.Random, main: list[str], other: list[str]) -> str:
     return f"<html><body>{''.join(before)}{body}{''.join(after)}</body></html>"
 
 
-def fitted(pages: DataFrame, sample: int = SAMPLE) -> Labeller:
-    """A labeller fitted on `sample` pages, chosen by a hash of page_id."""
-    ids = [r["page_id"] for r in pages.select("page_id").filter("page_id is not null").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample).collect()]
-    rows = pages.filter(F.col("page_id").isin(ids)).select("page_id", F.col("html").cast("string").alias("html")).orderBy("page_id", "html").limit(sample).collect() if ids else []
+_CONTAINER = re.compile(r"(</?)(?:article|main|nav|header|footer|aside|section|form)\b")
+_VALUE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+
+
+def _renamed(rng: random.Random, page: str) -> str:
+    """The same blocks without telling names: containers become plain ones and names are drawn anew, one for each that the page has."""
+    names: dict[str, str] = {}
+
+    def drawn(match: re.Match) -> str:
+        name = names.setdefault(match[2].lower(), "".join(rng.choices("bcdfghjklmnpqrstvwxz", k=6)))
+        return f'{match[1]}="{name}"'
+
+    return _CONTAINER.sub(r"\1div", _VALUE.sub(drawn, page))
+
+
+def fitted(pages: DataFrame, sample: int = SAMPLE, chars: int = SAMPLE_CHARS) -> Labeller:
+    """A labeller fitted on `sample` pages of at most `chars` code points, chosen by a hash of page_id."""
+    known = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("html").cast("string").alias("html")).filter(F.col("page_id").isNotNull() & (F.length("html") <= chars))
+    rows = known.orderBy(F.xxhash64("page_id"), "page_id", "html").limit(sample).collect()
     rng = random.Random(11)
-    found = [b for r in rows if (b := blocks_of(r["html"] or ""))]
+    pages_read = [r["html"] for r in rows]
+    found = [b for page in pages_read if (b := blocks_of(page))]
     texts = [b[1] for page in found for b in page]
-    for page in list(found):
+    built = []
+    for page in found:
         main = [b[1] for b in page if taught(b[0])] or texts[:3]
-        found.append(blocks_of(_rebuilt(rng, main[: rng.randint(1, 30)], texts)))
+        built.append(_rebuilt(rng, main[: rng.randint(1, 30)], texts))
+    found += map(blocks_of, built)
+    labels = [np.array([taught(b[0]) for b in page], np.float32) for page in found]
+    # Layouts without telling names teach the labeller to go by position, links and length as well.
+    for page in built:
+        named, plain = blocks_of(page), blocks_of(_renamed(rng, page))
+        if len(named) == len(plain):
+            found.append(plain)
+            labels.append(np.array([taught(b[0]) for b in named], np.float32))
     model = Labeller()
     if found:
         ends = np.cumsum([len(p) for p in found])
-        model.fit(np.split(vectors(found), ends[:-1]), [np.array([taught(b[0]) for b in p], np.float32) for p in found])
+        model.fit(np.split(vectors(found), ends[:-1]), labels)
     return model
 
 

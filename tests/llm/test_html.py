@@ -110,3 +110,35 @@ def test_gradients():
 
 def test_entities_match_the_standard():
     assert H.blocks_of("<p>&copy; &#233;&notit;")[0][1] == html.unescape("&copy; &#233;&notit;")
+
+
+def test_layouts_without_telling_names(model):
+    """No name of this page says what is main text: containers are plain, names are drawn."""
+    import random
+
+    rng = random.Random(8)
+    sentences = [" ".join(rng.choices("the river runs past old houses where people sit in summer and talk about rain".split(), k=rng.randint(8, 40))).capitalize() + "." for _ in range(200)]
+    wrong = total = positive = 0
+    for _ in range(80):
+        page = H._rebuilt(rng, rng.sample(sentences, rng.randint(3, 15)), [s[:60] for s in sentences])
+        labels = np.array([H.taught(b[0]) for b in H.blocks_of(page)])
+        blocks = H.blocks_of(H._renamed(rng, page))
+        assert [b[1] for b in blocks] == [b[1] for b in H.blocks_of(page)] and not any(H.taught(b[0]) for b in blocks)
+        (scores,) = model.scores([H.vectors([blocks])])
+        wrong, total, positive = wrong + int(((scores > 0) != labels).sum()), total + len(labels), positive + int(labels.sum())
+    assert wrong <= 0.08 * total and positive >= 0.15 * total
+
+
+def test_deep_and_long_pages_are_read_in_linear_time():
+    import time
+
+    def took(n):
+        began = time.process_time()
+        for page in ("<p>" + "<b>x " * n, "<div>x " * n, "<ul>" + "<div>" * n + "<li>x</li>" * n, "<a>" * n + "x</a>" * n):
+            H.vectors([H.blocks_of(page)])
+        return time.process_time() - began
+
+    took(1000)
+    assert took(40_000) < 40 * max(took(4_000), 0.02)
+    deep = H.blocks_of("<div class='k'>" * 5000 + "words")
+    assert len(deep) == 1 and len(deep[0][0].path()) == 5000 and deep[0][0].path()[0] == ("div", "k")
