@@ -30,6 +30,8 @@ from marquetry.llm.common import slices, utf8
 ORDER = 4
 #: Labelled documents that are learned from, for each language.
 SAMPLE = 600
+#: Rows of two values that are sent to all tasks at most; with more of them (labels of over a thousand languages) the texts are shuffled.
+SENT_ROWS = 1_000_000
 NONE = "und"
 SLICE = 2_000_000
 SPACE = 0x20
@@ -173,7 +175,8 @@ def train(docs: DataFrame, sample: int = SAMPLE, order: int = ORDER) -> Model:
     """
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).filter("lang is not null and doc_id is not null").filter(~held_out())
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = known.select("doc_id", "lang").distinct().withColumn("k", rank).filter(F.col("k") <= sample).drop("k")
+    chosen = known.select("doc_id", "lang").distinct().withColumn("k", rank).filter(F.col("k") <= sample).select("doc_id", "lang").toArrow()  # `sample` rows for each language
+    sent = docs.sparkSession.createDataFrame(chosen)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -183,7 +186,7 @@ def train(docs: DataFrame, sample: int = SAMPLE, order: int = ORDER) -> Model:
             counted = pa.table([lang, words.cast(pa.string())], names=["lang", "word"]).group_by(["lang", "word"]).aggregate([([], "count_all")])
             yield from counted.rename_columns({"count_all": "n"}).select(["lang", "word", "n"]).to_batches()
 
-    counted = known.join(chosen, ["doc_id", "lang"]).select("lang", "text").mapInArrow(count, "lang string, word string, n long")
+    counted = known.join(F.broadcast(sent) if chosen.num_rows <= SENT_ROWS else sent, ["doc_id", "lang"]).select("lang", "text").mapInArrow(count, "lang string, word string, n long")
     counts: dict[str, dict[str, int]] = {}
     for lang, word, n in zip(*counted.groupBy("lang", "word").agg(F.sum("n").alias("n")).orderBy("lang", "word").toArrow().to_pydict().values(), strict=True):
         counts.setdefault(lang, {})[word] = n
