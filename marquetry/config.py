@@ -9,6 +9,8 @@ from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
 
+from marquetry.operators.adapters import clean_queries
+
 
 def _check(name: str, value: Any, low: float, high: float) -> None:
     if not low <= value <= high:
@@ -33,6 +35,8 @@ class Dataset:
 @dataclass(frozen=True)
 class Prompt:
     resize_long_edge: int = 512
+    jpeg_quality: int = 85
+    strict_schema: bool = False
     temperature: float = 0.1
     max_tokens: int = 256
     system_prompt: str = "Describe the task in one sentence."
@@ -41,6 +45,7 @@ class Prompt:
 
     def __post_init__(self) -> None:
         _check("prompt.resize_long_edge", self.resize_long_edge, 64, 4096)
+        _check("prompt.jpeg_quality", self.jpeg_quality, 30, 100)
         _check("prompt.temperature", self.temperature, 0, 2)
         _check("prompt.max_tokens", self.max_tokens, 64, 4096)
 
@@ -55,12 +60,24 @@ class Reference:
     max_residual_area_fraction: float = 0.002
     min_inpaint_change_fraction: float = 0.01
     residual_check: bool = True
+    device: str = "cpu"
+    image_format: str = "raw"  # or jpeg
+    jpeg_quality: int = 95
     robot_queries: tuple[str, ...] = ("robot", "robot arm", "robot gripper")
 
     def __post_init__(self) -> None:
         _check("reference.batch_size", self.batch_size, 1, 512)
         _check("reference.mask_close_kernel", self.mask_close_kernel, 1, 255)
         _check("reference.mask_dilation_pixels", self.mask_dilation_pixels, 0, 512)
+        _check("reference.jpeg_quality", self.jpeg_quality, 30, 100)
+        _check("reference.max_residual_area_fraction", self.max_residual_area_fraction, 0, 1)
+        if self.image_format not in ("raw", "jpeg"):
+            raise ValueError("reference.image_format must be raw or jpeg")
+        if not self.device.strip():
+            raise ValueError("reference.device must hold text")
+        object.__setattr__(self, "robot_queries", clean_queries(self.robot_queries))
+        if len(self.robot_queries) > 8:
+            raise ValueError("reference.robot_queries must be eight at most")
         if self.mask_close_kernel % 2 == 0:
             raise ValueError("reference.mask_close_kernel must be odd")
         if not 0 < self.min_mask_area_fraction < self.max_mask_area_fraction < 1:
@@ -69,6 +86,7 @@ class Reference:
 
 @dataclass(frozen=True)
 class Runtime:
+    decode_workers: int = 64
     api_concurrency: int = 4
     api_retry_count: int = 4
     backoff_initial_seconds: float = 1.0
@@ -79,7 +97,8 @@ class Runtime:
     output_cost_per_million: float | None = None
 
     def __post_init__(self) -> None:
-        _check("runtime.api_concurrency", self.api_concurrency, 1, 64)
+        _check("runtime.decode_workers", self.decode_workers, 1, 100_000)
+        _check("runtime.api_concurrency", self.api_concurrency, 1, 100_000)
         _check("runtime.api_retry_count", self.api_retry_count, 0, 20)
         if not 0 <= self.backoff_initial_seconds <= self.backoff_max_seconds:
             raise ValueError("runtime.backoff_initial_seconds must not exceed backoff_max_seconds")
@@ -130,3 +149,19 @@ def load_config(path: str | Path) -> Config:
     )
     output = dataclasses.replace(config.output, root=os.environ.get("MARQUETRY_OUTPUT_ROOT") or place(config.output.root))
     return dataclasses.replace(config, dataset=dataset, output=output)
+
+
+def overridden(config: Config, **changes: Any) -> Config:
+    """The seven settings that a caller may set beside the file: dataset_root, dataset_glob, output_root, reference_device, reference_batch_size, api_concurrency, decode_workers."""
+    places = {
+        "dataset_root": ("dataset", "root"), "dataset_glob": ("dataset", "dataset_glob"), "output_root": ("output", "root"), "reference_device": ("reference", "device"),
+        "reference_batch_size": ("reference", "batch_size"), "api_concurrency": ("runtime", "api_concurrency"), "decode_workers": ("runtime", "decode_workers"),
+    }
+    if unknown := sorted(set(changes) - set(places)):
+        raise ValueError(f"unknown settings: {', '.join(unknown)}")
+    for name, value in changes.items():
+        if value is not None:
+            section, key = places[name]
+            value = str(Path(value).expanduser().resolve()) if name.endswith("_root") else value
+            config = dataclasses.replace(config, **{section: dataclasses.replace(getattr(config, section), **{key: value})})
+    return config

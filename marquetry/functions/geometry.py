@@ -68,5 +68,16 @@ def close_to(a: Column, b: Column, relative: float = 1e-9) -> Column:
     return F.when(finite, F.abs(a - b) <= relative * F.greatest(F.abs(a), F.abs(b))).otherwise((a == b) & ~F.isnan(a))
 
 
+def near_to(a: Column, b: Column, relative: float = 1e-5, absolute: float = 1e-8) -> Column:
+    """Equal up to a share of the second and a constant, as areas of decoded masks are compared."""
+    known = finite(a) & finite(b)
+    return F.when(known, F.abs(a - b) <= absolute + relative * F.abs(b)).otherwise((a == b) & ~F.isnan(a))
+
+
+def unique(items: Column) -> Column:
+    """A list without repeats."""
+    return F.size(F.array_distinct(items)) == F.size(items)
+
+
 def finite(c: Column) -> Column:
     return ~F.isnan(c) & (F.abs(c) < float("inf"))

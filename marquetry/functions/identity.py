@@ -46,10 +46,14 @@ def identity(value: Any) -> str:
     return hashlib.sha256(canonical(value).encode()).hexdigest()
 
 
-def prompt_key(generator: str, settings: str) -> Column:
+#: What keys were made for; the older one's keys are still looked up (fixed values).
+PROMPT_SCHEMA, PROMPT_SCHEMA_BEFORE = "prompt", "prompt-1"
+
+
+def prompt_key(generator: str, settings: str, schema: str = PROMPT_SCHEMA) -> Column:
     """Everything that a sentence depends on; nothing of the reference branch."""
     named = {
-        "branch": F.lit("prompt"),
+        "branch": F.lit(schema),
         "episode_length": F.col("episode_length"),
         "fps": F.col("fps"),
         "generator": F.lit(generator),
@@ -78,3 +82,17 @@ def reference_key(extractor: str) -> Column:
         "width": F.col("real_frame_width"),
     }
     return fingerprint(*(named[k].alias(k) for k in sorted(named)))
+
+
+def prompt_fingerprint(generator: str, task: Column, metadata: Column, frames: Column) -> Column:
+    """What one request held: task, metadata, the generator's identity, and every frame's number, time and digest."""
+    shown = F.transform(frames, lambda f: F.struct(f["index"].alias("index"), F.sha2(f["jpeg"], 256).alias("jpeg_sha256"), f["seconds"].alias("seconds")))
+    named = {"frames": shown, "generator": F.lit(generator), "metadata": metadata, "schema": F.lit("prompt-input"), "task": task}
+    return F.concat(F.lit("sha256:"), fingerprint(*(named[k].alias(k) for k in sorted(named))))
+
+
+def scene_fingerprint(extractor: str, sample: Column, view: Column, height: Column, width: Column, pixels: Column) -> Column:
+    """What one scene was made of: the raster's shape and bytes, and every setting."""
+    settings = F.to_json(F.struct(F.lit(extractor).alias("extractor"), sample.alias("sample_id"), F.lit(0).alias("source_frame_index"), view.alias("view")))
+    shape = F.concat(F.lit("uint8("), height.cast("string"), F.lit(","), width.cast("string"), F.lit(",3)"))
+    return F.concat(F.lit("sha256:"), F.sha2(F.concat(shape.cast("binary"), pixels, settings.cast("binary")), 256))

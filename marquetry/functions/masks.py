@@ -24,6 +24,35 @@ def bbox(mask: Column, width: int) -> Column:
     return F.when(F.size(places) > 0, box)
 
 
+def binary_values(mask: Column) -> Column:
+    """Only 0, 1 and 255 stand in a mask file."""
+    return F.forall(mask, lambda x: x.isin(0, 1, 255))
+
+
+def mask_broken(mask: Column, height: Column, width: Column) -> Column:
+    """Why an array is no removal mask of a picture of this size; null if it is one."""
+    return F.when(F.coalesce(F.size(mask) != height * width, F.lit(True)), "shape").when(~binary_values(mask), "values").when(~F.exists(mask, lambda x: x > 0), "empty")
+
+
+def prediction_broken(mask: Column, box: Column, height: int, width: int) -> Column:
+    """Why a predicted mask with its box is not usable: size, an empty mask, a box outside the picture, or one that is not tight."""
+    inside = (box[0] >= 0) & (box[1] >= 0) & (box[0] < box[2]) & (box[1] < box[3]) & (box[2] <= width) & (box[3] <= height)
+    tight = bbox(mask, width)
+    return (
+        F.when(F.coalesce(F.size(mask) != height * width, F.lit(True)), "size")
+        .when(tight.isNull(), "empty")
+        .when(~F.coalesce(inside, F.lit(False)), "box outside")
+        .when(box != tight, "box not tight")
+    )
+
+
+def confidence(logits: Column) -> Column:
+    """The mean probability over positive logits, clipped at 20; null if there is none."""
+    positive = F.filter(logits, lambda x: x > 0)
+    total = F.aggregate(positive, F.lit(0.0), lambda a, x: a + 1 / (1 + F.exp(-F.least(x.cast("double"), F.lit(20.0)))))
+    return F.when(F.size(positive) > 0, total / F.size(positive))
+
+
 def mask_hash(mask: Column) -> Column:
     """SHA-256 of the mask's bytes."""
     return F.sha2(F.unhex(F.array_join(F.transform(mask, lambda x: F.lpad(F.hex(x), 2, "0")), "")), 256)

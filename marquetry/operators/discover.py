@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from pathlib import Path
 from typing import Any
 
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,8 +88,24 @@ def _selectors(sources: list[dict]) -> list[tuple[str, str, str]]:
     return out
 
 
-def _manifest(path: str | None, kind: str) -> list[dict]:
-    """A manifest's rows: JSON lines, a list, one object, or an object with the rows under `kind`."""
+#: Says in a record's metadata that nothing was known beside the data set's own fields (a fixed key).
+EVIDENCE = "metadata_evidence"
+
+
+def prompt_metadata() -> F.Column:
+    """What a request tells of an episode beside its task: robot type, subtasks and supplemental metadata, each only where there is some."""
+    supplemental = F.when(F.col("supplemental") != "{}", F.col("supplemental"))
+    parts = [("robot_type", F.to_json(F.array("robot_type"))), ("subtasks", F.when(F.col("subtasks") != "[]", F.col("subtasks"))), ("supplemental_metadata", supplemental)]
+    shown = []
+    for name, value in parts:
+        value = F.regexp_replace(value, r"^\[|\]$", "") if name == "robot_type" else value
+        there = F.col("robot_type").isNotNull() if name == "robot_type" else value.isNotNull()
+        shown.append(F.when(there, F.concat(F.lit(f'"{name}":'), value)))
+    return F.concat(F.lit("{"), F.concat_ws(",", *shown), F.lit("}"))
+
+
+def _manifest(path: str | None, kind: str, only: bool = False) -> list[dict]:
+    """A manifest's rows: JSON lines, a list, one object, or an object with the rows under `kind`; with `only`, JSON lines or an object of exactly that key."""
     import json
 
     if path is None:
@@ -96,6 +115,8 @@ def _manifest(path: str | None, kind: str) -> list[dict]:
         rows = [json.loads(x) for x in text.splitlines() if x.strip()]
     else:
         value = json.loads(text)
+        if only and not (isinstance(value, dict) and set(value) == {kind} and isinstance(value[kind], list)):
+            raise DiscoveryError(f"{path}: must be an object of exactly {kind}")
         rows = value if isinstance(value, list) else value[kind] if isinstance(value, dict) and kind in value else [value]
     if not all(isinstance(r, dict) for r in rows):
         raise DiscoveryError(f"{path}: rows must be objects")
@@ -122,7 +143,7 @@ def discover(spark: SparkSession, config: Config, episodes: str | None = None, l
 
     intervals = S.selector_intervals(spark.createDataFrame(_selectors(infos), "source_id string, split string, selector string"))
     _demand(intervals.filter("not valid").select("source_id", "split", "part"), "info.splits has a malformed component")
-    assigned = _manifest(config.dataset.split_manifest, "assignments")
+    assigned = _manifest(config.dataset.split_manifest, "assignments", True)
     if config.dataset.split_manifest and (not assigned or any(set(a) != {"domain", "split"} or a["split"] not in S.SPLITS for a in assigned)):
         raise DiscoveryError("split assignments must be rows of exactly domain and split")
     external = spark.createDataFrame([(a["domain"], a["split"]) for a in assigned], "domain string, external string")
@@ -148,7 +169,8 @@ def discover(spark: SparkSession, config: Config, episodes: str | None = None, l
     extra = _manifest(config.dataset.metadata_manifest, "samples")
     if any("split" in r or not isinstance(r.get("sample_id"), str) for r in extra):
         raise DiscoveryError("metadata rows need a sample_id and must not set split")
-    metadata = spark.createDataFrame([(r["sample_id"], I.canonical({k: v for k, v in r.items() if k != "sample_id"})) for r in extra], "sample_id string, metadata string")
+    free = lambda r, *but: I.canonical({k: v for k, v in r.items() if k not in ("sample_id", *but)})
+    metadata = spark.createDataFrame([(r["sample_id"], free(r), free(r, EVIDENCE)) for r in extra], "sample_id string, metadata string, supplemental string")
     _demand(duplicates(metadata, "sample_id"), "a sample with several metadata rows")
     labels = _labels(spark, infos)
     records = (
@@ -157,14 +179,23 @@ def discover(spark: SparkSession, config: Config, episodes: str | None = None, l
         .join(labels, ["source_id", "episode_index"], "left")
         .select(
             "sample_id", "source_id", "dataset_name", "domain", F.col("root").alias("dataset_root"), "line", "episode_index", F.col("length").alias("episode_length"), "split", "fps", "robot_type", "task",
-            F.coalesce("subtasks", F.lit("[]")).alias("subtasks"), "real_view", "real_frame_height", "real_frame_width", F.concat_ws("/", "root", "relative").alias("real_video"), "metadata",
+            F.coalesce("subtasks", F.lit("[]")).alias("subtasks"), "real_view", "real_frame_height", "real_frame_width", F.concat_ws("/", "root", "relative").alias("real_video"), "metadata", F.coalesce("supplemental", F.lit("{}")).alias("supplemental"),
         )
     )
+    absent = records.select("sample_id", "real_video").mapInArrow(_absent, "sample_id string, real_video string")
+    _demand(absent, "a video that is not there")
     if episodes is None and limit is None:
         _demand(metadata.join(records, "sample_id", "left_anti").select("sample_id"), "metadata for an unknown sample")
     return Discovered(sources, records)
 
 
+def _absent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose video file does not exist, or lies outside its data set behind a link."""
+    for batch in batches:
+        there = pa.array([Path(v).is_file() for v in batch.column("real_video").to_pylist()], pa.bool_())
+        yield batch.filter(pa.compute.invert(there))
+
+
 def _labels(spark: SparkSession, infos: list[dict]) -> DataFrame:
     """Subtasks of each episode as JSON; the last entry wins, malformed ones are skipped, the file is optional."""
     paths = {s["source_id"]: f"{s['root']}/labels/labels.json" for s in infos}

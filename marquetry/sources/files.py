@@ -6,6 +6,7 @@ import contextlib
 import fnmatch
 import json
 import os
+import shutil
 import tempfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -80,6 +81,35 @@ def atomic_write(path: str | Path, payload: bytes) -> None:
         raise
 
 
+def atomic_lines(path: str | Path, lines_: Iterator[bytes]) -> None:
+    """atomic_write of lines that are never held together."""
+    path = Path(path)
+    path.parent.mkdir(parents=True, exist_ok=True)
+    handle, temporary = tempfile.mkstemp(prefix=f".{path.name}.", dir=path.parent)
+    try:
+        with os.fdopen(handle, "wb") as file:
+            for line in lines_:
+                file.write(line)
+            file.flush()
+            os.fsync(file.fileno())
+        os.chmod(temporary, path.stat().st_mode & 0o777 if path.exists() else 0o644)
+        os.replace(temporary, path)
+    except BaseException:
+        with contextlib.suppress(FileNotFoundError):
+            os.unlink(temporary)
+        raise
+
+
+def remove_folder(path: str | Path) -> None:
+    """A folder of the engine's own, with all in it."""
+    shutil.rmtree(path, ignore_errors=True)
+
+
+def canonical_text(text: str) -> bytes:
+    """A line of JSON in canonical form."""
+    return canonical_line(json.loads(text))
+
+
 def canonical_line(value: Any) -> bytes:
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode() + b"\n"
 
