@@ -4,7 +4,7 @@ An image column holds portable grey or pixel maps (P5, P6). Each image is read a
 apart; corners are local maxima of the structure tensor's response, placed between pixels, each turned to
 the direction of its patch's intensity centroid and described by 256 binary tests of the smoothed patch at exact places.
 Chosen bits of a descriptor are its key in each of three Hamming tables. Images post all their keys; a
-query probes with those of twelve scales an octave, twice enlarged to a quarter, so that one of them lies close to a scale of its source.
+query probes with those of eight scales an octave, up to twice enlarged, so that one of them lies close to a scale of its source.
 Query and image meet if keys agree at two places of the image at least. They are then compared in full: descriptors
 are matched by Hamming distance and the matches must agree on one rotation, scale and shift.
 
@@ -33,7 +33,9 @@ from marquetry.llm.common import scoped, shuffle_partitions, slices, stored
 from marquetry.llm.shingles import mix
 
 #: Levels in an octave of images and of queries; a level's shorter side is more than LEAST_SIDE; queries are enlarged up to so many octaves.
-OCTAVE, QUERY_OCTAVE, LEAST_SIDE, ENLARGED = 2, 12, 24, 1
+OCTAVE, QUERY_OCTAVE, LEAST_SIDE, ENLARGED = 2, 8, 24, 1
+#: A comparison takes so many scales an octave of a query.
+COMPARED = 4
 RADIUS, BITS = 9, 256
 TABLES, KEY_BITS = 3, 96
 #: A patch that differs from a plain ramp in fewer tests has no key.
@@ -44,12 +46,12 @@ PLACE = 4
 SKETCH, SHARED = 8, 3
 #: A match is this close at most; so many must agree, within so many pixels, for a copy.
 NEAR_BITS, INLIERS, PIXELS = 24, 8, 2.5
-#: Rows of a side that is sent to all tasks at most (64 MB); a larger one is shuffled.
-SENT_ROWS = 2_000_000
+#: Rows of two numbers that are sent to all tasks at most (64 MB); a larger side is shuffled.
+SENT_ROWS = 4_000_000
 #: So many images meet one copy of a query's descriptors.
 GROUP = 64
 KEYPOINT = np.dtype([("x", "<f4"), ("y", "<f4"), ("scale", "<f4"), ("angle", "<f4"), ("bits", "<u8", BITS // 64)])
-DESCRIBED = "image_id long, sha binary, keypoints binary, keys array<long>, places array<int>, sketch array<long>"
+DESCRIBED = "image_id long, sha binary, keypoints binary, keys array<long>"
 FOUND = "query_id long, image_id long, inliers long, matches long, scale double, angle double"
 
 
@@ -197,10 +199,9 @@ def keys_of(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def describe(images: DataFrame, queries: bool = False) -> DataFrame:
-    """images (image_id, media) -> the columns of DESCRIBED; queries at more scales."""
+    """images (image_id, media) -> the columns of DESCRIBED. Keys are those that a query probes with, or an image's SKETCH least ones."""
     octave, enlarged = (QUERY_OCTAVE, ENLARGED) if queries else (OCTAVE, 0)
-    # Comparisons take every third scale of a query.
-    kept = np.array([2 ** (k / octave) for k in range(-octave * enlarged, 16 * octave, 3 if queries else 1)], np.float32)
+    kept = np.array([2 ** (k / octave) for k in range(-octave * enlarged, 16 * octave, octave // COMPARED if queries else 1)], np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "media", 30_000 if queries else 300_000):
@@ -211,13 +212,13 @@ def describe(images: DataFrame, queries: bool = False) -> DataFrame:
                 same = [k for k, g in enumerate(grey) if g is not None and g.shape == shape]
                 for k, p in zip(same, keypoints_of(np.stack([grey[k] for k in same]), octave, enlarged), strict=True):
                     points[k] = p
-            keys = [keys_of(p) for p in points]
+            keys = [keys_of(p)[0] for p in points]
+            if not queries:
+                keys = [np.sort(mix(k.view(np.uint64)))[:SKETCH].view(np.int64) for k in keys]
             columns = [
                 pa.array([hashlib.sha256(m or b"").digest() for m in media], pa.binary()),
                 pa.array([p[np.isin(p["scale"], kept)].tobytes() for p in points], pa.binary()),
-                pa.array([k for k, _ in keys], pa.list_(pa.int64())),
-                pa.array([p for _, p in keys], pa.list_(pa.int32())),
-                pa.array([np.sort(mix(k.view(np.uint64)))[:SKETCH].view(np.int64) for k, _ in keys], pa.list_(pa.int64())),
+                pa.array(keys, pa.list_(pa.int64())),
             ]
             yield pa.RecordBatch.from_arrays([batch.column("image_id"), *columns], names=[c.split()[0] for c in DESCRIBED.split(", ")])
 
@@ -225,6 +226,19 @@ def describe(images: DataFrame, queries: bool = False) -> DataFrame:
     return rows.filter("image_id is not null").mapInArrow(run, DESCRIBED)
 
 
+def postings(held: DataFrame) -> DataFrame:
+    """image_id, key, place of every key of described images."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "keypoints", 300_000):
+            found = [keys_of(np.frombuffer(p, KEYPOINT)) for p in batch.column("keypoints").to_pylist()]
+            ids = batch.column("image_id").take(pa.array(np.repeat(np.arange(len(found)), [len(k) for k, _ in found])))
+            keys, places = (np.concatenate(x) for x in zip(*found, strict=True))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(keys, pa.int64()), pa.array(places, pa.int32())], names=["image_id", "key", "place"])
+
+    return held.select("image_id", "keypoints").mapInArrow(run, "image_id long, key long, place int")
+
+
 #: Cells of a comparison's matrix that are held at once.
 CELLS = 1_000_000
 
@@ -294,7 +308,7 @@ def _heads(described: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _bundles(held: DataFrame) -> DataFrame:
     """image_id, bundle, of the images that are bundled with others: each goes to the head of most of its least keys."""
-    sketched = held.select("image_id", F.explode("sketch").alias("key"))
+    sketched = held.select("image_id", F.explode("keys").alias("key"))
     shared = sketched.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
     met = stored(sketched.join(shared, "key"))
     ranked = met.join(met.groupBy("image_id").agg(F.sum("m").alias("weight")), "image_id")
@@ -309,16 +323,13 @@ def _met(asked: DataFrame, held: DataFrame) -> DataFrame:
     """(a: a query, b: an image) that agree on keys at two places of the image, or of its bundle."""
     probes = stored(asked.select(F.col("image_id").alias("a"), F.explode("keys").alias("key")))
     bundles = stored(_bundles(held))
-    posted = held.select("image_id", F.explode(F.arrays_zip("keys", "places")).alias("p")).select("image_id", F.col("p.keys").alias("key"), F.col("p.places").alias("place"))
-    alone = posted.join(_few(bundles.select("image_id")), "image_id", "left_anti").select("key", F.col("image_id").alias("b"), F.col("place").alias("low"), F.col("place").alias("high"), F.lit(False).alias("bundled"))
-    together = posted.join(_few(bundles), "image_id").groupBy("key", F.col("bundle").alias("b")).agg(F.min("place").alias("low"), F.max("place").alias("high")).withColumn("bundled", F.lit(True))
-    sent = _few(probes)
-
-    def meet(rows: DataFrame) -> DataFrame:
-        return rows.join(sent, "key").groupBy("a", "b").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high").select("a", "b")
-
-    many = meet(together).join(bundles, F.col("b") == F.col("bundle")).select("a", F.col("image_id").alias("b"))
-    return meet(alone).union(many)
+    sent, posted = _few(probes), postings(held)
+    # An image alone is met if two of its places are; a bundle posts each key once, with the least and the greatest of its places.
+    alone = posted.join(_few(bundles.select("image_id")), "image_id", "left_anti").join(sent, "key").groupBy("a", F.col("image_id").alias("b"))
+    alone = alone.agg(F.min("place").alias("low"), F.max("place").alias("high")).filter("low < high").select("a", "b")
+    together = posted.join(_few(bundles), "image_id").groupBy("key", "bundle").agg(F.min("place").alias("low"), F.max("place").alias("high"))
+    together = together.join(sent, "key").groupBy("a", "bundle").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high")
+    return alone.union(together.join(bundles, "bundle").select("a", F.col("image_id").alias("b")))
 
 
 def search(queries: DataFrame, images: DataFrame, least: int = INLIERS) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -27,7 +27,7 @@ def test_every_edit_is_found(spark, vectors):
     found, _, _ = M.search(rows_of(spark, [(q, g) for q, (_, _, g) in asked.items()]), M.pictures(vectors))
     got = {(r.query_id, r.image_id): r for r in found.collect()}
     points = {i: M.keypoints_of(g[None])[0] for i, g in held.items()}
-    own = {q: M.keypoints_of(g[None], M.QUERY_OCTAVE // 3, M.ENLARGED)[0] for q, (_, _, g) in asked.items()}
+    own = {q: M.keypoints_of(g[None], M.COMPARED, M.ENLARGED)[0] for q, (_, _, g) in asked.items()}
     want = {(q, i) for q, p in own.items() for i, x in points.items() if M.agree(p, x)[0] >= M.INLIERS}
     assert set(got) <= want and len(got) >= 0.95 * len(want)
     for k, kind in enumerate(M.EDITS):
