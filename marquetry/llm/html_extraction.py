@@ -398,7 +398,8 @@ def _renamed(rng: random.Random, page: str) -> str:
 def fitted(pages: DataFrame, sample: int = SAMPLE, chars: int = SAMPLE_CHARS) -> Labeller:
     """A labeller fitted on `sample` pages of at most `chars` code points, chosen by a hash of page_id."""
     known = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("html").cast("string").alias("html")).filter(F.col("page_id").isNotNull() & (F.length("html") <= chars))
-    rows = known.orderBy(F.xxhash64("page_id"), "page_id", "html").limit(sample).collect()
+    ids = [r["page_id"] for r in known.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample).collect()]
+    rows = known.filter(F.col("page_id").isin(ids)).orderBy("page_id", "html").limit(sample).collect() if ids else []
     rng = random.Random(11)
     pages_read = [r["html"] for r in rows]
     found = [b for page in pages_read if (b := blocks_of(page))]
