@@ -93,7 +93,7 @@ def _provenance(v: Column) -> Rules:
         ("residual check", has & ~_object(v, qa)),
         ("residual fields", checked & _broken(closed)),
         ("residual enabled", inside(enabled.isNotNull())),
-        ("residual detector", inside(F.when(enabled, _object(v, f"{qa}.detector")).otherwise(detector == "VOID"))),
+        ("residual detector", inside(F.when(enabled.isNull(), True).when(enabled, _object(v, f"{qa}.detector")).otherwise(detector == "VOID"))),
         ("residual queries", inside(_queries_valid(v))),
         ("residual metrics", inside(metrics)),
         ("residual failed", inside(F.when(metrics, passed & (area <= threshold)).otherwise(True))),
@@ -128,12 +128,12 @@ def item_rules(v: Column, view: Column, width: Column, height: Column, path: Col
     ]
 
 
-def published(v: Column, view: Column, width: Column, height: Column, path: Column) -> Column:
-    """Names of all rules that an item breaks; an item with missing fields has that fault (and extra ones) only."""
+def published(v: Column, view: Column, width: Column, height: Column, path: Column, pictures: Column) -> Column:
+    """Names of all rules that an item and its picture (see picture_rules) break; an item with missing fields has that fault (and extra ones) only."""
     missing = F.size(F.array_except(F.array(*map(F.lit, FIELDS)), keys(v))) > 0
     rules = item_rules(v, view, width, height, path)
     lacking = collected([rules[0], ("missing fields", F.lit(True))])
-    return F.when(F.coalesce(missing, F.lit(True)), lacking).otherwise(collected(rules))
+    return F.when(F.coalesce(missing, F.lit(True)), lacking).otherwise(F.concat(collected(rules), pictures))
 
 
 def picture_rules(v: Column, found_sha: Column, head: Column, picture_height: Column, picture_width: Column) -> Column:

@@ -255,15 +255,14 @@ def _audited(spark: SparkSession, roots: list[str], records: DataFrame, whole: b
         ("exactly one reference", has & ~one),
         ("reference ids differ", has & one & F.col("prompt").isNotNull() & ~F.col("reference_ids").eqNullSafe(F.array(R.text(F.col("item"), "reference_id")))),
     ]
-    item = R.published(F.col("item"), F.col("real_view"), F.col("real_frame_width"), F.col("real_frame_height"), path)
     if image_format == "raw":
         size = R.whole(F.col("item"), "width") * R.whole(F.col("item"), "height") * 3
         pictures = [("unreadable image", F.col("found").isNull()), ("image digest", F.col("found").isNotNull() & ~F.col("found").eqNullSafe(R.text(F.col("item"), "sha256"))), ("image size", F.col("found").isNotNull() & ~F.coalesce(F.col("size") == size, F.lit(False)))]
         picture = R.collected(pictures)
     else:
         picture = R.picture_rules(F.col("item"), F.col("found"), F.col("head"), F.col("picture_height"), F.col("picture_width"))
-    none = F.array().cast("array<string>")
-    broken = F.concat(R.collected(rows), F.when(has & one, F.concat(item, picture)).otherwise(none))
+    item = R.published(F.col("item"), F.col("real_view"), F.col("real_frame_width"), F.col("real_frame_height"), path, picture)
+    broken = F.concat(R.collected(rows), F.when(has & one, item).otherwise(F.array().cast("array<string>")))
     judged = met.select(F.col("key").alias("root"), "episode_index", broken.alias("broken"))
     errors = errors.unionAll(judged.select("root", "episode_index", F.explode("broken").alias("message")))
     stale = hashed.filter(~F.col("path").endswith(f"/reference_00.{SUFFIX[image_format]}")).select(F.element_at(F.split("path", "/Reference/"), 1).alias("root"), F.regexp_extract("path", r"episode_(\d+)/", 1).cast("bigint").alias("episode_index"), F.concat(F.lit("stale file "), F.substring_index("path", "/", -1)).alias("message"))

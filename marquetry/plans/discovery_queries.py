@@ -168,7 +168,7 @@ def inspect_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def preflight_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals, and the count of every split, zero where it has no episode."""
     total = episodes(spark, sf_dir).agg(F.count("*").alias("episodes"), F.countDistinct("source_id").alias("sources"), F.countDistinct("domain").alias("domains"))
-    found = _resolved(spark, sf_dir).filter("problem is null and source_id <> 'src0'").groupBy("split").agg(F.count("*").alias("n"))
+    found = _resolved(spark, sf_dir).filter("problem is null").groupBy("split").agg(F.count("*").alias("n"))
     splits = spark.createDataFrame([(s,) for s in [*S.SPLITS, "unused"]], "split string")
     return splits.join(found, "split", "left").select("split", F.coalesce("n", F.lit(0)).alias("n")).join(F.broadcast(total))
 
@@ -178,8 +178,9 @@ def unmatched_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unmatched_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("episode_index"))
-    return listed.join(episodes(spark, sf_dir).filter("episode_index % 3 <> 0"), "episode_index", "left_anti")
+    """Parts stand in for listed samples: the numbers that no document has."""
+    listed = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("episode_index"))
+    return listed.join(episodes(spark, sf_dir), "episode_index", "left_anti")
 
 
 def episode_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,11 +240,11 @@ from documents where (doc_id % 101 = 7 and doc_id > 0) or n_chars < 81 group by
   select e.source_id, e.domain, coalesce(case when problem is null then split0 end, 'unresolved') as split from resolved r join episodes e using (episode_index)
 ) select 'dataset' as kind, source_id as name, count(*) as episodes from all_rows group by 2
   union all select 'domain', domain, count(*) from all_rows group by 2 union all select 'split', split, count(*) from all_rows group by 2""",
-    "preflight_counts": _SPLITS + """, found as (select split0 as split, count(*) as n from resolved where problem is null and source_id <> 'src0' group by 1)
+    "preflight_counts": _SPLITS + """, found as (select split0 as split, count(*) as n from resolved where problem is null group by 1)
 select s.split, coalesce(n, 0) as n, t.* from (values ('train'), ('validation'), ('unused')) s(split) left join found using (split),
   (select count(*) as episodes, count(distinct source_id) as sources, count(distinct domain) as domains from episodes) t""",
     "unmatched_domains": f"select domain from (values {_ASSIGNED}) a(domain, split) where domain not in (select lang from documents where lang is not null)",
-    "unmatched_metadata": "select doc_id as episode_index from labels where doc_id not in (select doc_id from documents where doc_id % 3 <> 0)",
+    "unmatched_metadata": "select p_partkey as episode_index from part where p_partkey not in (select doc_id from documents)",
     "episode_selection": "select source as source_id, doc_id as episode_index from documents where doc_id in (0, 2, 700) or doc_id between 5 and 9 or doc_id between 40 and 120",
     "limit_discovery_order": "select source as source_id, doc_id as episode_index from documents where doc_id between 5 and 900 order by 1, 2 limit 20",
     "subtask_labels": """

@@ -53,22 +53,25 @@ def negative_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def success_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prompts = table(spark, sf_dir, "documents").filter("doc_id % 3 <> 0").select(F.col("doc_id").alias("sample_id"), F.sha2("text", 256).alias("prompt_hash"))
+    """Documents stand in for sentences, labels that are not toxic for scenes that came out well."""
+    prompts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("sample_id"), F.sha2("text", 256).alias("prompt_hash"))
     references = table(spark, sf_dir, "labels").filter("toxic = 0").select(F.col("doc_id").alias("sample_id"), "quality")
     return M.success_join(prompts, references)
 
 
 def manifest_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Old rows of chosen episodes give way to new ones, or go."""
-    old = table(spark, sf_dir, "documents").filter("doc_id % 5 <> 0").select(F.col("doc_id").alias("episode_index"), F.lit("old").alias("state"), "lang")
-    chosen = table(spark, sf_dir, "documents").filter("doc_id % 4 = 0").select(F.col("doc_id").alias("episode_index"))
-    new = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents"), "doc_id").select(F.col("doc_id").alias("episode_index"), F.lit("new").alias("state"), "lang")
+    """Old rows of chosen episodes (those with a label) give way to new ones (of good quality), or go."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    old = docs.select(F.col("doc_id").alias("episode_index"), F.lit("old").alias("state"), "lang")
+    chosen = labels.select(F.col("doc_id").alias("episode_index"))
+    new = labels.filter("quality = 1").join(docs, "doc_id").select(F.col("doc_id").alias("episode_index"), F.lit("new").alias("state"), "lang")
     return M.merge(old, chosen, new)
 
 
 def manifest_audit_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = table(spark, sf_dir, "documents").filter("doc_id % 3 <> 0").select(F.col("doc_id").alias("episode_index"))
-    return M.orphans(left, table(spark, sf_dir, "labels").select(F.col("doc_id").alias("episode_index")), "episode_index").groupBy("side").agg(F.count("*").alias("n"), F.min("episode_index").alias("first"), F.max("episode_index").alias("last"))
+    """Labels and parts stand in for two manifests."""
+    left = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("episode_index"))
+    return M.orphans(left, table(spark, sf_dir, "part").select(F.col("p_partkey").alias("episode_index")), "episode_index").groupBy("side").agg(F.count("*").alias("n"), F.min("episode_index").alias("first"), F.max("episode_index").alias("last"))
 
 
 def exact_set(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,11 +221,11 @@ ORACLES = {
     "work_set": _KEYED + "select sample_id, cache_key from candidates c where priority = 0 and not exists (select 1 from checkpoints k where k.sample_id = c.sample_id and k.cache_key = c.cache_key)",
     "negative_cache": _KEYED + """select case when exists (select 1 from checkpoints k where k.sample_id = c.sample_id and k.cache_key = c.cache_key) then 'hit'
   when sample_id in (select doc_id from labels where toxic = 1) then 'failed' else 'miss' end as state, count(*) as n from candidates c where priority = 0 group by 1""",
-    "success_join": "select d.doc_id as sample_id, sha256(d.text) as prompt_hash, l.quality from documents d join labels l using (doc_id) where d.doc_id % 3 <> 0 and l.toxic = 0",
-    "manifest_merge": """select doc_id as episode_index, 'old' as state, lang from documents where doc_id % 5 <> 0 and doc_id % 4 <> 0
-  union all select doc_id, 'new', lang from labels join documents using (doc_id) where doc_id % 4 = 0""",
-    "manifest_audit_outer": """select case when l.doc_id is null then 'left' else 'right' end as side, count(*) as n, min(coalesce(l.doc_id, d.doc_id)) as first, max(coalesce(l.doc_id, d.doc_id)) as last
-  from (select * from documents where doc_id % 3 <> 0) d full join labels l on l.doc_id = d.doc_id where l.doc_id is null or d.doc_id is null group by 1""",
+    "success_join": "select d.doc_id as sample_id, sha256(d.text) as prompt_hash, l.quality from documents d join labels l using (doc_id) where l.toxic = 0",
+    "manifest_merge": """select doc_id as episode_index, 'old' as state, lang from documents where doc_id not in (select doc_id from labels)
+  union all select doc_id, 'new', lang from labels join documents using (doc_id) where quality = 1""",
+    "manifest_audit_outer": """select case when p.p_partkey is null then 'left' else 'right' end as side, count(*) as n, min(coalesce(p.p_partkey, l.doc_id)) as first, max(coalesce(p.p_partkey, l.doc_id)) as last
+  from labels l full join part p on l.doc_id = p.p_partkey where l.doc_id is null or p.p_partkey is null group by 1""",
     "exact_set": "select 'same' as pair, true as equal, 0::bigint as n union all select 'labels', count(*) = 0, count(*) from documents where doc_id not in (select doc_id from labels)",
     "first_last_rows": "select user_id, min(event_id) as first, arg_min(event_type, event_id) as first_type, max(event_id) as last, arg_max(event_type, event_id) as last_type from events group by 1",
     "closed_schema": f"""select event_id, case when not json_valid(v) then 'invalid_json' when json_keys(v) = ['k'] then 'ok' else 'fields' end as status from (select event_id, {_VARIANT} as v from events)""",
