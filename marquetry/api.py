@@ -127,10 +127,10 @@ class Engine:
             return self._run(keyed, n, force, audit, episodes is None and limit is None, began)
 
     def _branches(self, keyed: DataFrame, force: bool) -> tuple[DataFrame, int, DataFrame, int]:
-        """Outcomes of both branches for all records, and how many were held."""
+        """Outcomes of both branches for all records, and how many were held. What is held is never cached: an append to its folder would refresh that."""
         c = self.config
-        done_prompts = self._done("prompts", B.PROMPTED, keyed, F.col("prompt_keys_before"), force).cache()
-        done_scenes = self._done("references", B.SCENED, keyed, None, force).cache()
+        done_prompts = self._done("prompts", B.PROMPTED, keyed, F.col("prompt_keys_before"), force)
+        done_scenes = self._done("references", B.SCENED, keyed, None, force)
         hits = done_prompts.count(), done_scenes.count()
         for_prompt = keyed.join(done_prompts.select("sample_id"), "sample_id", "left_anti").select("sample_id", F.lit(True).alias("for_prompt"))
         for_scene = keyed.join(done_scenes.select("sample_id"), "sample_id", "left_anti").select("sample_id", F.lit(True).alias("for_reference"))
