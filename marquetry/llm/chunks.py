@@ -148,8 +148,9 @@ class ByteBpe(ChunkTokenizer):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.special = [x["content"] for x in spec["added_tokens"]]
-        if any(x.isspace() for s in self.special for x in s):
-            raise ValueError("special strings with white space are not supported")
+        flags = any(x.get(f) for x in spec["added_tokens"] for f in ("lstrip", "rstrip", "single_word", "normalized"))
+        if flags or any(x.isspace() for s in self.special for x in s) or any(re.search(r"[A-Za-z0-9][.,;:!?]", s) for s in self.special):
+            raise ValueError("special strings that a chunk's end could cut, or that take white space with them, are not supported")
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()

@@ -17,7 +17,7 @@ Null and empty texts have no spans; repeated rows give repeated results; other c
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquetry.llm.common import stored
@@ -140,24 +140,33 @@ def digests(docs: DataFrame) -> DataFrame:
     )
 
 
+def _replaced(label: str) -> str:
+    """The text with every one of `_cuts` replaced; in blocks of cuts, so that many of them stay cheap."""
+    last, total = "size(_cuts)", "length(text)"
+    end_before = "case when i = 0 then 0 else _cuts[i - 1].e end"
+    gap = f"substring(part, cast({end_before} - base + 1 as int), cast((case when i = {last} then {total} else _cuts[i].s end) - {end_before} as int))"
+    inner = f"transform(sequence(b * {_BLOCK}, least((b + 1) * {_BLOCK} - 1, {last})), i -> {gap})"
+    stop = f"case when (b + 1) * {_BLOCK} > {last} then {total} else _cuts[(b + 1) * {_BLOCK} - 1].s end"
+    inner = f"transform(array(substring(text, cast(base + 1 as int), cast({stop} - base as int))), part -> {inner})[0]"
+    inner = f"transform(array(case when b = 0 then 0L else _cuts[b * {_BLOCK} - 1].e end), base -> {inner})[0]"
+    return f"array_join(flatten(transform(sequence(0, {last} div {_BLOCK}), b -> {inner})), '{label}')"
+
+
 def redact(docs: DataFrame, label: str = "[SECRET]") -> DataFrame:
     """docs with every reported secret replaced by `label` and n_chars set anew; all columns and rows stay.
 
     Overlapping spans are merged first. Identifiers and endpoints stay, as they open nothing alone.
     """
-    found = scan(docs).filter("size(assign) + size(access) + size(hex) + size(key) > 0").select("doc_id", "h", F.expr("array_sort(array_distinct(concat(assign, access, hex, key)))").alias("_spans"))
-    found = found.dropDuplicates(["doc_id", "h"])
-    # A span begins a piece unless an earlier one reaches it; ends are then the highest before the next piece.
-    merged = """aggregate(_spans, cast(array() as array<struct<s: bigint, e: bigint>>), (a, x) ->
-        case when size(a) > 0 and element_at(a, -1).e >= x.s
-        then array_append(slice(a, 1, size(a) - 1), named_struct('s', element_at(a, -1).s, 'e', greatest(element_at(a, -1).e, x.e)))
-        else array_append(a, x) end)"""
-    found = found.select(F.col("doc_id").alias("_doc"), F.col("h").alias("_h"), F.expr(merged).alias("_cuts"))
-    joined = docs.withColumn("_t", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))).join(found, F.expr("doc_id <=> _doc and _t = _h"), "left")
-    pieces = """array_join(transform(sequence(0, size(_cuts)), i -> substring(text,
-        cast(case when i = 0 then 0 else _cuts[i - 1].e end as int) + 1,
-        cast((case when i = size(_cuts) then length(text) else _cuts[i].s end) - (case when i = 0 then 0 else _cuts[i - 1].e end) as int))), '{label}')"""
-    joined = joined.withColumn("text", F.expr(f"case when _cuts is null then text else {pieces.format(label=label)} end"))
+    found = scan(docs).filter("size(assign) + size(access) + size(hex) + size(key) > 0").dropDuplicates(["doc_id", "h"])
+    spans = found.select(F.col("doc_id").alias("_doc"), F.col("h").alias("_h"), F.expr("inline(array_distinct(concat(assign, access, hex, key)))"))
+    # A span begins a piece unless an earlier one reaches it.
+    ordered = Window.partitionBy("_doc", "_h").orderBy("s", "e")
+    before = F.coalesce(F.max("e").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1))
+    begun = spans.withColumn("begins", (before < F.col("s")).cast("int"))
+    pieces = begun.withColumn("piece", F.sum("begins").over(ordered.rowsBetween(Window.unboundedPreceding, 0))).groupBy("_doc", "_h", "piece").agg(F.min("s").alias("s"), F.max("e").alias("e"))
+    cuts = pieces.groupBy("_doc", "_h").agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("_cuts"))  # of one text
+    joined = docs.withColumn("_t", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))).join(cuts, F.expr("doc_id <=> _doc and _t = _h"), "left")
+    joined = joined.withColumn("text", F.expr(f"case when _cuts is null then text else {_replaced(label)} end"))
     if "n_chars" in docs.columns:
         joined = joined.withColumn("n_chars", F.when(F.col("_cuts").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
     return joined.select(*docs.columns)

@@ -45,3 +45,12 @@ def test_against_plain_rendering(spark):
         assert all(text[r.begin : r.end] == r.segment for r in rows)
         assert [(r.loss_begin, r.loss_end) for r in rows if r.loss_begin is not None] == want[key][1]
     assert rotate(df.limit(0)).collect() == []
+
+
+def test_very_long_turns_and_a_hot_conversation(spark):
+    rows = [(1, k, "ab"[k % 2], "w " * 60_000 if k == 7 else f"t{k}") for k in range(5000)]
+    got = rotate(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert len(got) == 10_000
+    for who in "ab":
+        mine = sorted((r for r in got if r.perspective == who), key=lambda r: r.seq)
+        assert [r.turn for r in mine] == list(range(5000)) and all(a.end == b.begin for a, b in zip(mine, mine[1:])) and mine[0].begin == 0

@@ -67,3 +67,9 @@ def test_held_out_accuracy(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = identified(df).filter("held_out").join(df, "doc_id").select("lang", "lang_pred").collect()
     assert len(rows) > 200 and sum(r.lang == r.lang_pred for r in rows) / len(rows) > 0.97
+
+
+def test_a_language_of_almost_all_rows(spark):
+    rows = [(k, "the cat and the dog sat on the mat", "en") for k in range(3000)] + [(5000 + k, "le chat et le chien sont sur la table", "fr") for k in range(30)]
+    got = identified(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert {(r.doc_id >= 5000, r.lang_pred) for r in got} == {(False, "en"), (True, "fr")}

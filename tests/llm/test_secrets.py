@@ -70,3 +70,31 @@ def test_redaction_keeps_rows(spark):
     texts = {(r.doc_id, r.text) for r in got}
     assert (2, 'é [SECRET]"') in texts and (0, None) in texts and (5, "secret=token: abcdefgh password[SECRET]") in texts
     assert all(r.n_chars in (7, len(r.text)) for r in got if r.text is not None)
+
+
+def test_many_secrets_in_one_text(spark):
+    """More cuts than a block holds, some of them touching, against replacing in Python."""
+    import random
+
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice([f"token={i:08d}", "é" * rng.randint(1, 9), "f" * 30, f"AKIA{'A' * 16}{'b' * 24}"]) for i in range(n)) for n in (0, 1, 127, 128, 129, 700, 3000)]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in secret_scans.redact(df).collect()}
+    for k, text in enumerate(texts):
+        parts = next(r for r in secret_scans.scan(df.filter(f"doc_id = {k}")).collect())
+        marked = [False] * len(text)
+        for kind in ("assign", "access", "hex", "key"):
+            for x in parts[kind]:
+                marked[x.s : x.e] = [True] * (x.e - x.s)
+        spans = sorted((x.s, x.e) for kind in ("assign", "access", "hex", "key") for x in parts[kind])
+        merged = []
+        for s, e in spans:
+            if merged and merged[-1][1] >= s:
+                merged[-1][1] = max(merged[-1][1], e)
+            else:
+                merged.append([s, e])
+        want, at = "", 0
+        for s, e in merged:
+            want += text[at:s] + "[SECRET]"
+            at = e
+        assert got[k] == want + text[at:]

@@ -75,3 +75,22 @@ def test_counts(docs):
 def test_splices_widen(text):
     bpe = byte_bpe(BYTE)
     assert token_counts.count_spliced(bpe, text.encode(), 300, 8) == len(bpe.library.encode(text, add_special_tokens=False).ids)
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert sentencepieces.digests(none, PIECE).collect() == [] and token_counts.token_counts(none, BYTE).collect() == []
+
+
+def test_special_strings_that_chunks_would_cut(tmp_path):
+    import json
+
+    from marquetry.llm.chunks import ByteBpe
+
+    spec = json.loads(open(BYTE, encoding="utf-8").read())
+    for change in ({"content": "<|a.b|>"}, {"lstrip": True}, {"content": "<| |>"}):
+        added = [spec["added_tokens"][0] | change]
+        path = tmp_path / "t.json"
+        path.write_text(json.dumps(spec | {"added_tokens": added}))
+        with pytest.raises(ValueError, match="special"):
+            ByteBpe(str(path))
