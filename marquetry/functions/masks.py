@@ -59,10 +59,10 @@ def mask_hash(mask: Column) -> Column:
 
 
 def ellipse(size: int) -> np.ndarray:
-    """A filled ellipse in a square of odd size; size 1 is one pixel."""
+    """A filled ellipse in a square of odd size, each row's half width rounded, as image libraries draw it; size 1 is one pixel."""
     r = size // 2
     y, x = np.mgrid[-r : r + 1, -r : r + 1]
-    return x * x + y * y <= r * r if r else np.ones((1, 1), bool)
+    return np.abs(x) <= np.rint(np.sqrt(r * r - y * y)) if r else np.ones((1, 1), bool)
 
 
 def offsets(size: int) -> list[tuple[int, int]]:

@@ -302,3 +302,52 @@ def test_settings(tmp_path):
     assert (changed.dataset.root, changed.dataset.dataset_glob, changed.reference.batch_size, changed.runtime.decode_workers) == (str(tmp_path / "x"), "a*", 3, 5)
     with pytest.raises(ValueError, match="unknown"):
         overridden(changed, other=1)
+
+
+def test_structuring_elements():
+    from marquetry.functions import masks as K
+
+    assert K.ellipse(1).tolist() == [[True]] and K.ellipse(3).astype(int).tolist() == [[0, 1, 0], [1, 1, 1], [0, 1, 0]]
+    assert K.ellipse(5).astype(int).tolist() == [[0, 0, 1, 0, 0], [1, 1, 1, 1, 1], [1, 1, 1, 1, 1], [1, 1, 1, 1, 1], [0, 0, 1, 0, 0]]
+    assert K.ellipse(9).sum(axis=1).tolist() == [1, 7, 7, 9, 9, 9, 7, 7, 1]  # half widths 0, 2.65, 3.46, 3.87 and 4, rounded
+
+
+def test_endpoint(monkeypatch):
+    """A busy server, then a cut-off answer, then a whole one: three requests, a larger budget for the last."""
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    from marquetry.operators.client import HttpGenerator
+
+    seen = []
+
+    class Server(BaseHTTPRequestHandler):
+        def do_POST(self):
+            seen.append(json.loads(self.rfile.read(int(self.headers["Content-Length"]))) | {"auth": self.headers["Authorization"], "path": self.path})
+            text = '{"prompt": "Wi' if len(seen) == 2 else '```json\n{"prompt": "Wipe."}\n```'
+            body = json.dumps({"id": "r1", "model": "m2", "choices": [{"message": {"content": text}, "finish_reason": "length" if len(seen) == 2 else "stop"}], "usage": {"prompt_tokens": 7, "completion_tokens": 2}}).encode()
+            self.send_response(503 if len(seen) == 1 else 200)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Server)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    client = HttpGenerator("m", f"http://127.0.0.1:{server.server_port}/v1/", api_key_env="MARQUETRY_TEST_KEY")
+    with pytest.raises(A.Unavailable):
+        client.ensure_ready()
+    monkeypatch.setenv("MARQUETRY_TEST_KEY", "k")
+    client.ensure_ready()
+    frames = [(k, k / 10, b"j") for k in range(8)]
+    request = {"parts": Q.parts("wipe", {}, frames), "response_format": Q.response_format("prompt", True), "system_prompt": "s", "temperature": 0.1}
+    got = B._attempted(client, request, config_of(), lambda _: None)
+    assert got == {"status": "ok", "attempts": 3, "prompt": "Wipe.", "model": "m2", "request_id": "r1", "input_tokens": 7, "output_tokens": 2}
+    assert [s["max_completion_tokens"] for s in seen] == [256, 256, 1024] and seen[0]["auth"] == "Bearer k" and seen[0]["path"] == "/v1/chat/completions" and len(seen[0]["messages"][1]["content"]) == 17
+    server.shutdown()
+    server.server_close()
+    with pytest.raises(ConnectionError):
+        client.generate(request, 1)
+    with pytest.raises(ValueError, match="base_url"):
+        HttpGenerator("m", base_url_env="MARQUETRY_NO_SUCH")._url()
