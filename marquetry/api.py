@@ -74,6 +74,7 @@ class Engine:
 
     def _held(self, name: str, schema: str) -> DataFrame:
         path = Path(self.config.output.root) / name
+        schema = f"{schema}, written long"
         return self.spark.read.schema(schema).parquet(str(path)) if path.exists() else self.spark.createDataFrame([], schema)
 
     def _done(self, name: str, schema: str, keyed: DataFrame, before: Column | None, force: bool) -> DataFrame:
@@ -90,7 +91,7 @@ class Engine:
         key = F.col("prompt_key" if name == "prompts" else "reference_key")
         keys = F.array(key) if before is None else F.concat(F.array(key), before)
         candidates = keyed.filter(key.isNotNull()).select("sample_id", F.posexplode(keys).alias("priority", "cache_key"))
-        payload = held.dropDuplicates(["sample_id", "cache_key"]).select("sample_id", "cache_key", F.struct(*columns).alias("payload"))
+        payload = held.groupBy("sample_id", "cache_key").agg(F.max_by(F.struct(*columns), F.coalesce("written", F.lit(0))).alias("payload"))  # the last outcome holds
         found = C.look_up(keyed.select("sample_id", key.alias("current")), candidates, payload).filter("payload is not null")
         moved = {"cache_key": F.col("current")}
         hits = found.select("migrate", *(moved.get(c, F.col(f"payload.{c}")).alias(c) for c in columns))
@@ -103,10 +104,11 @@ class Engine:
     def _append(self, name: str, rows: DataFrame, schema: str) -> DataFrame:
         """Rows written once beside the checkpoints, then among them; all later reads are of the written table."""
         path = str(Path(self.config.output.root) / name)
-        batch = f"{path}-{time.time_ns()}"
+        now = time.time_ns()
+        batch = f"{path}-{now}"
         rows.write.parquet(batch)
         fresh = self.spark.read.schema(schema).parquet(batch)
-        fresh.write.mode("append").parquet(path)
+        fresh.withColumn("written", F.lit(now)).write.mode("append").parquet(path)
         return fresh
 
     def _failing(self, fresh: DataFrame, branch: str) -> None:

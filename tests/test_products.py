@@ -351,3 +351,19 @@ def test_endpoint(monkeypatch):
         client.generate(request, 1)
     with pytest.raises(ValueError, match="base_url"):
         HttpGenerator("m", base_url_env="MARQUETRY_NO_SUCH")._url()
+
+
+def test_the_last_outcome_holds(spark, tmp_path):
+    engine = Engine(spark, config(tmp_path), None, None)
+    keyed = spark.createDataFrame([("a", "k"), ("b", "k"), ("c", "new")], "sample_id string, reference_key string")
+    image = b"picture"
+    sound = {"image": image, "sha256": hashlib.sha256(image).hexdigest(), "provenance": "{}", "status": "ok", "cache_key": "k"}
+    rounds = [
+        [{"sample_id": "a", "cache_key": "k", "status": "rejected"}, {"sample_id": "b"} | sound, {"sample_id": "c"} | sound],
+        [{"sample_id": "a"} | sound, {"sample_id": "b", "cache_key": "k", "status": "failed"}, {"sample_id": "c"} | sound | {"cache_key": "new", "sha256": "0" * 64}],
+    ]
+    names = [c.split()[0] for c in B.SCENED.split(", ")]
+    for rows in rounds:
+        engine._append("references", spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], B.SCENED), B.SCENED)
+    got = {r.sample_id: r.status for r in engine._done("references", B.SCENED, keyed, None, False).collect()}
+    assert got == {"a": "ok", "b": "ok"} and engine._done("references", B.SCENED, keyed, None, True).collect() == []
