@@ -199,13 +199,10 @@ def _absent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _labels(spark: SparkSession, infos: list[dict]) -> DataFrame:
     """Subtasks of each episode as JSON; the last entry wins, malformed ones are skipped, the file is optional."""
     paths = {s["source_id"]: f"{s['root']}/labels/labels.json" for s in infos}
-    out = spark.createDataFrame([], "source_id string, pos int, episode_index bigint, subtasks string")
-    for source, path in paths.items():
-        if Path(path).is_file():
-            whole = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("v"))
-            entries = whole.select(F.posexplode(F.try_variant_get("v", "$.labels", "array<variant>")).alias("pos", "e"))
-            index = F.when(F.schema_of_variant(F.try_variant_get("e", "$.episode_index", "variant")) == "BIGINT", F.try_variant_get("e", "$.episode_index", "bigint"))
-            out = out.unionAll(entries.select(F.lit(source).alias("source_id"), "pos", index.alias("episode_index"), F.to_json(F.try_variant_get("e", "$.subtasks", "variant")).alias("subtasks")))
+    whole = IO.whole_files(spark, paths).select(F.col("key").alias("source_id"), F.try_parse_json("value").alias("v"))
+    entries = whole.select("source_id", F.posexplode(F.try_variant_get("v", "$.labels", "array<variant>")).alias("pos", "e"))
+    index = F.when(F.schema_of_variant(F.try_variant_get("e", "$.episode_index", "variant")) == "BIGINT", F.try_variant_get("e", "$.episode_index", "bigint"))
+    out = entries.select("source_id", "pos", index.alias("episode_index"), F.to_json(F.try_variant_get("e", "$.subtasks", "variant")).alias("subtasks"))
     good = out.filter("episode_index is not null and subtasks like '[%'")
     return good.groupBy("source_id", "episode_index").agg(F.max_by("subtasks", "pos").alias("subtasks"))
 

@@ -162,10 +162,9 @@ def _clean(folder: Path, kept: str) -> None:
 def _pictures(spark: SparkSession, roots: list[str], image_format: str) -> DataFrame:
     """path, found (digest), head (two bytes), picture_height, picture_width (-1: not decodable) and size of every numbered file."""
     known = "path string, content binary"
-    every = spark.createDataFrame([], known)
-    for root in roots:
-        if (Path(root) / "Reference").is_dir():
-            every = every.unionAll(spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"reference_*.{SUFFIX[image_format]}").load(f"{root}/Reference").select("path", "content"))
+    folders = [f"{root}/Reference" for root in roots if (Path(root) / "Reference").is_dir()]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"reference_*.{SUFFIX[image_format]}")
+    every = files.load(folders).select("path", "content") if folders else spark.createDataFrame([], known)
 
     def size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from marquetry.functions import images as G
@@ -185,8 +184,7 @@ def _pictures(spark: SparkSession, roots: list[str], image_format: str) -> DataF
         every = every.withColumns({"picture_height": F.lit(-1), "picture_width": F.lit(-1)})
     else:
         every = every.mapInArrow(size, f"{known}, picture_height int, picture_width int")
-    path = F.regexp_replace("path", "^file:/*", "/").alias("path")
-    return every.select(path, F.sha2("content", 256).alias("found"), F.substring("content", 1, 2).alias("head"), "picture_height", "picture_width", F.length("content").alias("size"))
+    return every.select(IO.plain_path(F.col("path")).alias("path"), F.sha2("content", 256).alias("found"), F.substring("content", 1, 2).alias("head"), "picture_height", "picture_width", F.length("content").alias("size"))
 
 
 def audit(spark: SparkSession, records: DataFrame, whole: bool, show: int = 20, image_format: str = "raw") -> dict[str, Any]:

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 from pathlib import Path
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,14 +36,25 @@ def read_object(path: str | Path) -> dict[str, Any]:
     return value
 
 
+def plain_path(c: Column) -> Column:
+    """A local file's path from the address that Spark gives it."""
+    return F.url_decode(F.replace(F.regexp_replace(c, "^file:/*", "/"), F.lit("+"), F.lit("%2B")))
+
+
+def whole_files(spark: SparkSession, files: dict[str, str]) -> DataFrame:
+    """files: key -> path. (key, value: the text) of those that exist, in one scan."""
+    there = [(key, os.path.realpath(path)) for key, path in files.items() if os.path.exists(path)]
+    if not there:
+        return spark.createDataFrame([], "key string, value string")
+    keys = F.broadcast(spark.createDataFrame(there, "key string, path string"))  # one row for each data set
+    found = spark.read.text(sorted({path for _, path in there}), wholetext=True)
+    return found.select("value", plain_path(F.col("_metadata.file_path")).alias("path")).join(keys, "path").select("key", "value")
+
+
 def lines(spark: SparkSession, files: dict[str, str]) -> DataFrame:
     """files: key -> path. (key, line: counted from 1, text) of every line that is not blank; missing files have none."""
-    out = spark.createDataFrame([], "key string, line int, text string")
-    for key, path in files.items():
-        if os.path.exists(path):
-            whole = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("line", "text"))
-            out = out.unionAll(whole.filter(F.trim("text") != "").select(F.lit(key).alias("key"), (F.col("line") + 1).alias("line"), "text"))
-    return out
+    whole = whole_files(spark, files).select("key", F.posexplode(F.split("value", "\r?\n")).alias("line", "text"))
+    return whole.filter(F.trim("text") != "").select("key", (F.col("line") + 1).alias("line"), "text")
 
 
 def json_lines(spark: SparkSession, files: dict[str, str], schema: str, strict: bool = True) -> DataFrame:

@@ -367,3 +367,25 @@ def test_the_last_outcome_holds(spark, tmp_path):
         engine._append("references", spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], B.SCENED), B.SCENED)
     got = {r.sample_id: r.status for r in engine._done("references", B.SCENED, keyed, None, False).collect()}
     assert got == {"a": "ok", "b": "ok"} and engine._done("references", B.SCENED, keyed, None, True).collect() == []
+
+
+def test_odd_paths_and_several_data_sets(spark, tmp_path):
+    from marquetry.sources import files as IO
+
+    names = ["a b", "c+d", "e%20f", "é", "plain"]
+    for k, name in enumerate(names):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x.jsonl").write_text(f'{{"v": {k}}}\n\n{{"v": true}}\n')
+    got = IO.json_lines(spark, {n: str(tmp_path / n / "x.jsonl") for n in [*names, "none"]}, "v bigint", strict=False).collect()
+    assert {(r.key, r.line, r.v, r.valid) for r in got} == {(n, 1, k, True) for k, n in enumerate(names)} | {(n, 3, None, False) for n in names}
+    with pytest.raises(ValueError, match="x.jsonl:3"):
+        IO.json_lines(spark, {"plain": str(tmp_path / "plain/x.jsonl")}, "v bigint")
+    data = tmp_path / "data sets"
+    write(data, "one + x", "s1", episodes=1)
+    write(data, "two", "s2", "garden", episodes=1)
+    (data / "two/labels").mkdir()
+    (data / "two/labels/labels.json").write_text(json.dumps({"labels": [{"episode_index": 0, "subtasks": [{"n": 1}]}, {"episode_index": True, "subtasks": []}, {"episode_index": 0, "subtasks": [{"n": 2}]}]}))
+    base = config(tmp_path)
+    engine = Engine(spark, replace(base, dataset=replace(base.dataset, root=str(data))), Talker, Painter)
+    report = engine.run()
+    assert report["status"] == "complete" and report["datasets"] == 2 and report["audit"]["complete_episodes"] == 2, report
