@@ -302,3 +302,22 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, coordinates:
     joined = found.drop("signature").join(placed, own, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+#: near_groups with two words over the table `documents`, in DuckDB's SQL, by counting common shingles of all pairs.
+ORACLE = r"""
+with recursive words as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents
+), sets as (
+  select doc_id, case when len(w) < 2 then w else list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) end as s from words
+), items as (select doc_id, unnest(s) as x from sets)
+, shared as (
+  select a.doc_id as a, b.doc_id as b, count(*) as n from items a join items b on a.x = b.x and a.doc_id < b.doc_id group by 1, 2
+), links as (
+  select a, b from shared join sets p on p.doc_id = a join sets q on q.doc_id = b where 100 * n >= 80 * (len(p.s) + len(q.s) - n)
+), both_ways as (select a as u, b as v from links union all select b, a from links)
+, reached(u, v) as (
+  select doc_id, doc_id from sets union select r.u, l.v from reached r join both_ways l on l.u = r.v
+)
+select s.doc_id, cast(len(s.s) as bigint) as n_shingles, c.v as component_id, s.doc_id = c.v as kept from sets s join (select u, min(v) as v from reached group by 1) c on c.u = s.doc_id
+"""

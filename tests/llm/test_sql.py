@@ -1,0 +1,22 @@
+"""The training-data queries that SQL can express, against DuckDB."""
+
+from collections import Counter
+
+import __spark_entry__
+import duckdb
+import pytest
+from marquetry.llm import registry
+
+DIR = "/root/testdata/sf0.01"
+
+
+@pytest.mark.parametrize("name", registry.ORACLES)
+def test_query(spark, name):
+    connection = duckdb.connect()
+    for table in ("documents", "conversations"):
+        connection.execute(f"create view {table} as select * from read_parquet('{DIR}/{table}.parquet')")
+    found = connection.execute(__spark_entry__.oracle_sql()[name])
+    columns = [d[0] for d in found.description]
+    got = __spark_entry__.queries()[name](spark, DIR)
+    assert sorted(columns) == sorted(got.columns)
+    assert Counter(tuple(r[c] for c in columns) for r in got.collect()) == Counter(found.fetchall())
