@@ -64,4 +64,4 @@ def op10_media_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_html_extraction, op3_packing, op4_near_dedup, op5_sentencepiece, op6_language_id, op7_secret_scans, op8_chat_rotation, op9_token_counts, op10_media_search)}
-ORACLES = {"op4_near_dedup": near_dedup.ORACLE, "op8_chat_rotation": chat_rotation.ORACLE}
+ORACLES = {"op4_near_dedup": near_dedup.ORACLE, "op7_secret_scans": secret_scans.ORACLE, "op8_chat_rotation": chat_rotation.ORACLE}

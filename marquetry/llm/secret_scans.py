@@ -170,3 +170,34 @@ def redact(docs: DataFrame, label: str = "[SECRET]") -> DataFrame:
     if "n_chars" in docs.columns:
         joined = joined.withColumn("n_chars", F.when(F.col("_cuts").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
     return joined.select(*docs.columns)
+
+
+def _sql() -> str:
+    """`digests` over the table `documents` in DuckDB's SQL. A run of KEY's characters is matched whole, so its look-behind is not needed there."""
+    quoted = lambda p: "'" + p.replace("'", "''") + "'"
+    patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "login": LOGIN, "key": KEY.partition(")")[2], "endpoint": ENDPOINT}
+    found = " union all ".join(
+        f"select r, doc_id, '{kind}' as kind, {KINDS.index(kind)} as k, '{FAMILY[kind]}' as family, regexp_extract_all(x, {quoted(p)}, 0) as m, "
+        f"regexp_extract_all(x, {quoted(p)}, {2 if kind == 'assign' else 0}) as v, string_split_regex(x, {quoted(p)}) as gaps from texts"
+        for kind, p in patterns.items()
+    )
+    return f"""with texts as (select row_number() over () as r, doc_id, coalesce(text, '') as x from documents), found as ({found})
+, listed as (select r, kind, k, family, i, m[i] as m, v[i] as g, length(gaps[i]) as gap from (select *, unnest(range(1, len(m) + 1)) as i from found))
+, spans as (select r, kind, k, family, cast(sum(gap + length(m)) over (partition by r, kind order by i) as bigint) as e, length(m) as size, g from listed)
+, sound as (
+  select r, kind, k, family, e - size as s, e from spans
+  where case kind when 'assign' then length(g) >= 6 when 'key' then regexp_matches(g, '[0-9]') and regexp_matches(g, '[a-z]') and regexp_matches(g, '[A-Z]') else true end
+), used as (select * from sound p where kind <> 'key' or exists (select 1 from sound o where o.r = p.r and o.kind in ('access', 'login', 'endpoint')))
+, reported as (
+  select * from used w where k <= 2 or exists (
+    select 1 from used n where n.r = w.r and n.s <= w.e + {REACH} and n.e >= w.s - {REACH} and case w.family when 'secret' then n.family in ('id', 'endpoint') else n.family = 'secret' end)
+), told as (
+  select r, count(*) filter (k = 0) as n_assign, count(*) filter (k = 1) as n_access, count(*) filter (k = 2) as n_hex, count(*) filter (k > 2) as n_linked,
+    string_agg(kind || ':' || s || ':' || e, ',' order by s, k) filter (k <= 2) as base, string_agg(kind || ':' || s || ':' || e, ',' order by s, k) as spans
+  from reported group by r
+)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(n_linked, 0) as n_linked
+from texts left join told using (r)"""
+
+
+ORACLE = _sql()
