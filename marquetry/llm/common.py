@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -86,6 +88,21 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+@lru_cache(1)
+def _libc() -> ctypes.CDLL | None:
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:
+        return None
+
+
+def give_back() -> None:
+    """Return freed memory to the system, as a worker stays after its task."""
+    pa.default_memory_pool().release_unused()
+    if _libc() is not None:
+        _libc().malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds about `limit` bytes of `column` (or one row)."""
     for batch in batches:
@@ -97,6 +114,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             done = sizes[begin - 1] if begin else 0
             end = max(begin + 1, int(np.searchsorted(sizes, done + limit, side="right")))
             yield batch.slice(begin, end - begin)
+            give_back()
             begin = end
 
 

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from marquetry.llm.common import SLICE_BYTES, slices
+from marquetry.llm.common import SLICE_BYTES, give_back, slices
 
 _CODEC = "zstd"
 
@@ -41,4 +41,5 @@ def opened(batches: Iterator[pa.RecordBatch], columns: list[str], limit: int = S
             part = batch.slice(begin, end - begin)
             arrays = [unpack(part.column(n)) if n in columns else part.column(n) for n in batch.schema.names]
             yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names)
+            give_back()
             begin = end
