@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 ROOT = str(Path(__file__).resolve().parents[2])
 #: Bytes of an Arrow batch, so that workers' memory does not depend on how long rows are.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 def reachable(spark: SparkSession) -> SparkSession:
