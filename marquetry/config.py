@@ -86,7 +86,7 @@ class Reference:
 
 @dataclass(frozen=True)
 class Runtime:
-    decode_workers: int = 64
+    decode_workers: int = 8
     api_concurrency: int = 4
     api_retry_count: int = 4
     backoff_initial_seconds: float = 1.0
